@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsquake import constants as K
 
@@ -30,14 +32,18 @@ def _accent_tables() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _accent_tables()
 
 
-@F.pandas_udf("string")
-def _nfkd_without_marks(text: pd.Series) -> pd.Series:
-    def fold(value):
-        if value is None or value.isascii():
-            return value
-        return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+def _nfkd_without_marks():
+    """Arrow UDF; defined inside a function so that it travels to workers by value."""
 
-    return text.map(fold, na_action="ignore")
+    def folded(text: pd.Series) -> pd.Series:
+        def fold(value):
+            if value is None or value.isascii():
+                return value
+            return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+
+        return text.map(fold, na_action="ignore")
+
+    return F.pandas_udf(folded, T.StringType())
 
 
 def normalize_for_match(text: Column, full_unicode: bool = False) -> Column:
@@ -46,7 +52,7 @@ def normalize_for_match(text: Column, full_unicode: bool = False) -> Column:
     The default folds the Latin letters inside the JVM; full_unicode runs the complete NFKD
     decomposition in one Arrow UDF, for scripts outside those blocks.
     """
-    folded = _nfkd_without_marks(text) if full_unicode else F.regexp_replace(
+    folded = _nfkd_without_marks()(text) if full_unicode else F.regexp_replace(
         F.translate(text, _ACCENTED, _PLAIN), r"\p{Mn}+", ""
     )
     bare = F.translate(F.lower(folded), ".,", "")
@@ -173,20 +179,22 @@ def outer_braces(text: Column) -> Column:
     return F.when(text.rlike(_OBJECT), F.regexp_extract(text, _OBJECT, 1))
 
 
-@F.pandas_udf("boolean")
-def _strict_json(text: pd.Series) -> pd.Series:
-    import json
+def _strict_json():
+    """Arrow UDF; defined inside a function so that it travels to workers by value."""
+
+    def checked(text: pd.Series) -> pd.Series:
+        def valid(value):
+            if value is None:
+                return False
+            try:
+                json.loads(value)
+                return True
+            except ValueError:
+                return False
 
-    def valid(value):
-        if value is None:
-            return False
-        try:
-            json.loads(value)
-            return True
-        except ValueError:
-            return False
+        return text.map(valid).astype("bool")
 
-    return text.map(valid).astype("bool")
+    return F.pandas_udf(checked, T.BooleanType())
 
 
 def is_valid_json(text: Column) -> Column:
@@ -195,4 +203,4 @@ def is_valid_json(text: Column) -> Column:
     Spark's own parsers accept trailing text, single quotes and bare numbers like 01, so the
     verdict comes from one Arrow UDF over the sliced text.
     """
-    return _strict_json(outer_braces(text))
+    return _strict_json()(outer_braces(text))

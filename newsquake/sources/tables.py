@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from newsquake import constants as K
 from newsquake.functions.text import sector_pattern, split_feed_title
+from newsquake.operators.ranking import running_totals
+from newsquake.plans.template import draws
 
 # The sector each region stands for.
 REGION_SECTORS = ("Energy", "Technology", "Real Estate", "Financial Services", "Industrials")
@@ -236,3 +238,102 @@ class Tables:
     def assessments(self) -> DataFrame:
         """(ticker, feed_pos, relevant, importance); small orders carry no assessment."""
         return self.feed.where("assessed").select("ticker", "feed_pos", "relevant", "importance")
+
+    @cached_property
+    def eval_rows(self) -> DataFrame:
+        """Stored rows to score, two per document; the reaction follows the document's labels."""
+        quality, toxic = F.col("quality"), F.col("toxic")
+        reaction = (
+            F.when((quality == 1) & (toxic == 0), "good")
+            .when((quality == 0) & (toxic == 0), "bad")
+            .when((quality == 0) & (toxic == 1), "overreaction_down")
+            .when((quality == 1) & (toxic == 1), "overreaction_up")
+            .otherwise("neutral")
+        )
+        buckets = F.array(*[F.lit(b) for b in ("undervalued", "near_fair", "overvalued", "no_data", "")])
+        cells = [part for r in K.FUSION_ROWS for part in (F.lit(f"{r[0]}|{r[1]}"), F.lit(r[2]))]
+        documents = self.read("documents").select("doc_id", "source", "lang", "n_chars")
+        labelled = documents.join(self.read("labels"), "doc_id", "left").select(
+            "doc_id", "source", "lang", "n_chars", reaction.alias("news_reaction"),
+            F.element_at(buckets, (F.col("n_chars") % 5).cast("int") + 1).alias("bucket"),
+        )
+        call = F.coalesce(
+            F.try_element_at(F.create_map(*cells), F.concat_ws("|", "news_reaction", "bucket")), F.lit("HOLD")
+        )
+        tasks = F.array(
+            F.struct(
+                (F.col("doc_id") * 2).alias("row_id"), F.lit("reaction").alias("task"),
+                F.lit("").alias("recommendation"), F.lit("").alias("valuation_bucket"),
+            ),
+            F.struct(
+                (F.col("doc_id") * 2 + 1).alias("row_id"), F.lit("analysis").alias("task"),
+                call.alias("recommendation"), F.col("bucket").alias("valuation_bucket"),
+            ),
+        )
+        return labelled.withColumn("t", F.explode(tasks)).select(
+            "t.row_id", "t.task", "source", "news_reaction", "t.recommendation", "t.valuation_bucket"
+        )
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """(row_id, model, text): answers of two models to every row, some of them malformed."""
+        documents = self.read("documents").select("doc_id", "source", "lang", "n_chars")
+        model = F.explode(
+            F.array(
+                F.struct(F.lit("base").alias("model"), F.lit(1).alias("off")),
+                F.struct(F.lit("tuned").alias("model"), F.lit(0).alias("off")),
+            )
+        )
+        crossed = documents.withColumn("m", model).withColumn("task_no", F.explode(F.array(F.lit(0), F.lit(1))))
+        shifted = F.col("n_chars") + F.col("m.off")
+        reaction = F.element_at(F.array(*[F.lit(r) for r in K.REACTIONS]), (shifted % 5).cast("int") + 1)
+        call = F.element_at(F.array(F.lit("BUY"), F.lit("SELL"), F.lit("HOLD")), (shifted % 3).cast("int") + 1)
+        answer = F.when(F.col("doc_id") % 5 == 0, " ").otherwise(F.col("lang"))
+        fields = F.when(
+            F.col("task_no") == 0, F.concat(F.lit('"news_reaction": "'), reaction, F.lit('"'))
+        ).otherwise(
+            F.concat(
+                F.lit('"recommendation": "'), call, F.lit('", "reasoning": "'), F.col("source"),
+                F.lit('", "answer": "'), answer, F.lit('"'),
+            )
+        )
+        shape = F.col("doc_id") % 6
+        text = (
+            F.when(shape == 1, F.concat(F.lit("Sure: {"), fields, F.lit("} as asked")))
+            .when(shape == 2, F.concat(F.lit("{"), fields, F.lit(",}")))
+            .when(shape == 3, F.lit("no answer"))
+            .when(shape == 4, F.concat(F.lit("{\n "), fields, F.lit("\n}")))
+            .when(shape == 5, F.concat(F.lit('{"a": 1} then {'), fields, F.lit("}")))
+            .otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
+        )
+        return crossed.select((F.col("doc_id") * 2 + F.col("task_no")).alias("row_id"), F.col("m.model").alias("model"), text.alias("text"))
+
+    @cached_property
+    def template_pools(self) -> DataFrame:
+        """(pool, idx, headlines, reasonings): one template per part, numbered within its pool."""
+        names = ("good", "bad", "neutral", "overreaction_down", "overreaction_up")
+        pool = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("p_partkey") % 5).cast("int") + 1)
+        headline = F.concat(F.lit("{name} ({ticker}) updates its "), F.col("p_name"), F.lit(" line"))
+        reasoning = F.concat(F.lit("The "), F.col("p_name"), F.lit(" news bears on {ticker}."))
+        parts = self.read("part").select(
+            pool.alias("pool"), F.col("p_partkey").alias("order_key"),
+            F.array(headline).alias("headlines"), F.array(reasoning, F.concat(reasoning, F.lit(" It may fade."))).alias("reasonings"),
+        )
+        return running_totals(parts, ["pool"], "order_key", []).withColumn("idx", F.col("running_n").cast("int") - 1).drop("running_n")
+
+    @cached_property
+    def sector_news(self) -> DataFrame:
+        """(sector, good_headline, bad_headline, linkage) for the two sectors that have any."""
+        return self.entities.where(F.col("sector").isin("Energy", "Industrials")).select("sector").distinct().select(
+            "sector",
+            F.concat(F.col("sector"), F.lit(" demand firms")).alias("good_headline"),
+            F.concat(F.col("sector"), F.lit(" demand softens")).alias("bad_headline"),
+            F.concat(F.lit("demand across "), F.col("sector"), F.lit(" sets volumes")).alias("linkage"),
+        )
+
+    @cached_property
+    def template_draws(self) -> DataFrame:
+        """(draw_id, as_of, news_reaction, entity_no, entity fields): one draw per order."""
+        keys = self.read("orders").select(F.col("o_orderkey").alias("draw_id"), F.to_date("o_orderdate").alias("as_of"))
+        drawn = draws(keys, "draw_id", 25)
+        return drawn.join(self.entities, F.col("entity_no") == F.col("entity_key")).drop("entity_key")
