@@ -617,8 +617,8 @@ _sql(
 )
 _sql(
     "fn6_to_18_valuation",
-    f"""SELECT ticker, as_of::VARCHAR AS as_of, first_basis, basis, {_rounded('price', 'market_cap', 'pe_trailing', 'roe', 'price_to_sales',
-    'fcf_yield', 'peg_ratio', 'price_to_book', 'intrinsic', 'gap_pct', digits=4)} FROM gaps""",
+    f"""SELECT ticker, as_of::VARCHAR AS as_of, first_basis, basis, {_rounded('price', 'market_cap', 'intrinsic', 'gap_pct', digits=4)},
+    {_rounded('pe_trailing', 'roe', 'price_to_sales', 'fcf_yield', 'peg_ratio', 'price_to_book', digits=8)} FROM gaps""",
 )
 _PARTS = ", ".join(
     f"{_r(f'max({source}) FILTER (name = {_q(name)})')} AS {target}_{name}"

@@ -389,8 +389,11 @@ def _(t):
 
 @query("fn6_to_18_valuation")
 def _(t):
-    names = "price market_cap pe_trailing roe price_to_sales fcf_yield peg_ratio price_to_book intrinsic gap_pct".split()
-    return _values(t).select("ticker", _text("as_of"), "first_basis", "basis", *[_r(c, 4).alias(c) for c in names])
+    amounts = "price market_cap intrinsic gap_pct".split()
+    ratios = "pe_trailing roe price_to_sales fcf_yield peg_ratio price_to_book".split()
+    return _values(t).select(
+        "ticker", _text("as_of"), "first_basis", "basis", *[_r(c, 4).alias(c) for c in amounts], *[_r(c, 8).alias(c) for c in ratios]
+    )
 
 
 @query("fn10_11_scenarios")

@@ -30,23 +30,20 @@ def trading_bars(prices: DataFrame, ahead: int = K.LOOK_AHEAD_BARS) -> DataFrame
     )
 
 
-def earnings_on_axis(earnings: DataFrame, bars: DataFrame) -> DataFrame:
-    """Each earnings event with the ordinal of the first trading day on or after its date."""
-    events = earnings.select("ticker", F.to_date("event_ts").alias("event_date"), "event_ts").distinct()
-    placed = asof_lookup(
-        events, "ticker", "event_date", [AsOf("bar", bars, "trade_date", ["bar_no"], direction="forward")]
-    )
-    return placed.select("ticker", "event_ts", F.col("bar.bar_no").alias("event_bar"))
-
-
 def reaction_lookups(bars: DataFrame, earnings: DataFrame | None) -> list[AsOf]:
-    """Day 0 of a date, and the next earnings event after its midnight."""
+    """Day 0 of a date, and the next earnings event after its midnight.
+
+    The event carries the ordinal of the first trading day on or after its own date, which puts
+    it on the trading-day axis.
+    """
     day0 = ["trade_date", "close", "bar_no", "prev_date", "prev_close", "ahead_date", "ahead_close"]
     lookups = [AsOf("day0", bars, "trade_date", day0, direction="forward")]
     if earnings is not None:
-        events = earnings_on_axis(earnings, bars)
         lookups.append(
-            AsOf("event", events, "event_ts", ["event_ts", "event_bar"], direction="forward", inclusive=False)
+            AsOf(
+                "event", earnings, "event_ts", ["event_ts"], direction="forward", inclusive=False,
+                carry={"event_bar": "day0.bar_no"},
+            )
         )
     return lookups
 

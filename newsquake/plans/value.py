@@ -30,53 +30,83 @@ def consensus_growth(estimates: DataFrame) -> DataFrame:
     )
 
 
-def preferred_metric(quarterly: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """Rows of the first listed metric an entity reports at all, without missing values."""
-    rank = reduce(lambda acc, iv: acc.when(F.col("metric") == iv[1], iv[0]), enumerate(names[1:], 1), F.when(F.col("metric") == names[0], 0))
-    ranked = quarterly.where(F.col("metric").isin(*names)).withColumn("_rank", rank)
-    best = Window.partitionBy("ticker")
+def _preferred(quarterly: DataFrame, groups: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(ticker, kind, metric, period_end, value): per kind, the first listed metric an entity reports at all."""
+    ranks = [(kind, place, name) for kind, names in groups.items() for place, name in enumerate(names)]
+
+    def chosen(part: int) -> Column:
+        return reduce(lambda acc, r: acc.when(F.col("metric") == r[2], r[part]), ranks[1:], F.when(F.col("metric") == ranks[0][2], ranks[0][part]))
+
+    ranked = quarterly.where(F.col("metric").isin(*[r[2] for r in ranks])).withColumns({"kind": chosen(0), "_rank": chosen(1)})
     return (
-        ranked.withColumn("_best", F.min("_rank").over(best))
+        ranked.withColumn("_best", F.min("_rank").over(Window.partitionBy("ticker", "kind")))
         .where((F.col("_rank") == F.col("_best")) & F.col("value").isNotNull() & ~F.isnan("value"))
-        .select("ticker", "metric", "period_end", "value")
+        .select("ticker", "kind", "metric", "period_end", "value")
     )
 
 
-def trailing_eps(quarterly: DataFrame) -> DataFrame:
-    """(ticker, period_end, eps_ttm): last four quarters summed, or the latest times four below four."""
-    axis = Window.partitionBy("ticker").orderBy("period_end")
+def preferred_metric(quarterly: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Rows of the first listed metric an entity reports at all, without missing values."""
+    return _preferred(quarterly, {"only": names}).drop("kind")
+
+
+def quarter_facts(quarterly: DataFrame, tolerance: int = K.YEAR_AGO_TOLERANCE_DAYS) -> DataFrame:
+    """(ticker, kind, period_end, eps_ttm, revenue, year_ago), one row per quarter and kind.
+
+    eps_ttm sums the last four quarters, or takes the latest times four when there are fewer.
+    year_ago is the revenue of a period less than tolerance days from a year before; statements
+    are listed most recent first, so of several the latest counts. A range frame around a year
+    back holds the few candidates, so nothing is joined to itself.
+    """
+    facts = _preferred(quarterly, {"eps": K.EPS_METRICS, "revenue": K.REVENUE_METRICS})
+    axis = Window.partitionBy("ticker", "kind").orderBy("period_end")
+    # A year before is 365 or 366 days back, give or take the tolerance.
+    year_back = Window.partitionBy("ticker", "kind").orderBy("_day").rangeBetween(-366 - tolerance, tolerance - 365)
     previous = [F.lag("value", i).over(axis) for i in (1, 2, 3)]
     summed = F.col("value") + previous[0] + previous[1] + previous[2]
-    return preferred_metric(quarterly, K.EPS_METRICS).select(
-        "ticker",
-        "period_end",
-        F.when(previous[2].isNotNull(), summed).otherwise(F.col("value") * 4).alias("eps_ttm"),
+    target = F.add_months("period_end", -12)
+    near = F.filter("_candidates", lambda c: F.abs(F.datediff(c["period_end"], target)) < tolerance)
+    return (
+        facts.withColumn("_day", F.unix_date("period_end"))
+        .withColumns(
+            {
+                "_ttm": F.when(previous[2].isNotNull(), summed).otherwise(F.col("value") * 4),
+                "_candidates": F.collect_list(F.struct("period_end", "value")).over(year_back),
+            }
+        )
+        .select(
+            "ticker", "kind", "period_end",
+            F.when(F.col("kind") == "eps", F.col("_ttm")).alias("eps_ttm"),
+            F.when(F.col("kind") == "revenue", F.col("value")).alias("revenue"),
+            F.when(F.col("kind") == "revenue", F.array_max(near)["value"]).alias("year_ago"),
+        )
     )
 
 
-def revenue_with_year_ago(quarterly: DataFrame, tolerance: int = K.YEAR_AGO_TOLERANCE_DAYS) -> DataFrame:
-    """(ticker, period_end, revenue, year_ago): the latest period less than tolerance days from a year before.
+def trailing_eps(quarterly: DataFrame) -> DataFrame:
+    """(ticker, period_end, eps_ttm)."""
+    return quarter_facts(quarterly).where(F.col("kind") == "eps").select("ticker", "period_end", "eps_ttm")
 
-    Statements are listed most recent first, so the first match is the latest one; that makes the
-    search a backward as-of from target + tolerance - 1 days.
-    """
-    revenue = preferred_metric(quarterly, K.REVENUE_METRICS).select("ticker", "period_end", F.col("value").alias("revenue"))
-    probes = revenue.withColumn("until", F.date_add(F.add_months("period_end", -12), tolerance - 1))
-    found = asof_lookup(
-        probes, "ticker", "until",
-        [AsOf("before", revenue, "period_end", ["revenue"], tolerance_days=2 * (tolerance - 1))],
-    )
-    return found.select("ticker", "period_end", "revenue", F.col("before.revenue").alias("year_ago"))
+
+def revenue_with_year_ago(quarterly: DataFrame) -> DataFrame:
+    """(ticker, period_end, revenue, year_ago)."""
+    return quarter_facts(quarterly).where(F.col("kind") == "revenue").select("ticker", "period_end", "revenue", "year_ago")
 
 
 def fact_lookups(prices: DataFrame, quarterly: DataFrame, earnings: DataFrame) -> list[AsOf]:
     """Price, trailing EPS, revenue, last report and next report as known on a date."""
-    reported = earnings.where(F.col("eps_reported").isNotNull())
+    quarters = quarter_facts(quarterly)
     return [
         AsOf("bar", prices, "trade_date", ["trade_date", "close"], tolerance_days=K.PRICE_TOLERANCE_DAYS),
-        AsOf("eps", trailing_eps(quarterly), "period_end", ["period_end", "eps_ttm"], inclusive=False),
-        AsOf("rev", revenue_with_year_ago(quarterly), "period_end", ["period_end", "revenue", "year_ago"], inclusive=False),
-        AsOf("report", reported, "event_ts", ["event_ts", "eps_reported", "eps_estimate"], inclusive=False),
+        AsOf("eps", quarters, "period_end", ["period_end", "eps_ttm"], inclusive=False, rows=F.col("kind") == "eps"),
+        AsOf(
+            "rev", quarters, "period_end", ["period_end", "revenue", "year_ago"], inclusive=False,
+            rows=F.col("kind") == "revenue",
+        ),
+        AsOf(
+            "report", earnings, "event_ts", ["event_ts", "eps_reported", "eps_estimate"], inclusive=False,
+            rows=F.col("eps_reported").isNotNull(),
+        ),
         AsOf("next", earnings, "event_ts", ["event_ts"], direction="forward", inclusive=False),
     ]
 
