@@ -25,7 +25,10 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str):
     def register(build: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, directory: build(Tables(spark, directory))
+        def run(spark: SparkSession, directory: str) -> DataFrame:
+            return build(Tables(spark, directory))
+
+        QUERIES[name] = run
         return build
 
     return register

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 SALTS_CONF = "spark.newsquake.salts"
 DEFAULT_SALTS = 16
+# Recording a call site for every column costs several round trips each; long plans feel it.
+DEBUGGING_CONF = "spark.python.sql.dataFrameDebugging.enabled"
 
 
 def build_session(app: str = "newsquake", **conf: str) -> SparkSession:
@@ -16,6 +18,7 @@ def build_session(app: str = "newsquake", **conf: str) -> SparkSession:
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(DEBUGGING_CONF, "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

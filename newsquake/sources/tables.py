@@ -11,6 +11,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from newsquake import constants as K
 from newsquake.functions.text import sector_pattern, split_feed_title
@@ -21,6 +22,7 @@ from newsquake.plans.template import draws
 REGION_SECTORS = ("Energy", "Technology", "Real Estate", "Financial Services", "Industrials")
 FEED_END = "2001-12-31"
 FEED_WEEKS = 400
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def sector_table(spark: SparkSession) -> DataFrame:
@@ -59,7 +61,11 @@ class Tables:
         self.directory = directory
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A sample table; its schema is looked up once per process, not by a job per read."""
+        path = f"{self.directory}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def sectors(self) -> DataFrame:
