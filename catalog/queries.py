@@ -15,6 +15,7 @@ from newsquake.operators.asof import AsOf, asof_lookup, distinct_days
 from newsquake.operators.lookup import skew_safe_join
 from newsquake.operators.ranking import nearest_rank
 from newsquake.plans import calibrate, convert, evaluate, label, report, rows, select, signals, template, value
+from newsquake.session import settled
 from newsquake.sources import stored
 from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table, window_index
 from newsquake.streaming import feed as arriving
@@ -490,7 +491,7 @@ def _(t):
 def _(t):
     labelled = label.label_headlines(t.headlines, t.prices, t.earnings).where(F.col("news_reaction").isNotNull())
     stored_rows = labelled.select("feed_pos", "news_reaction", F.when(F.col("feed_pos") % 5 == 0, "analysis").otherwise("reaction").alias("task"))
-    return rows.rebalance(stored_rows, ["feed_pos"])
+    return rows.rebalance(settled(stored_rows), ["feed_pos"])
 
 
 @query("agg9_class_targets")
@@ -518,8 +519,8 @@ def _(t):
 
 @query("agg1_attempted_skips")
 def _(t):
-    selected = _selected(t)
-    tried = _tried(t, selected)
+    selected = settled(_selected(t))
+    tried = settled(_tried(t, selected))
     return select.attempted_skips(selected, tried, select.keep_within_caps(tried))
 
 
@@ -744,8 +745,8 @@ def _(t):
 def _template_frame(t: Tables) -> DataFrame:
     drawn = t.template_draws
     days = drawn.select("ticker", "as_of").distinct()
-    valued = value.value_days(days, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors).drop("sector")
-    return skew_safe_join(drawn, valued, ["ticker", "as_of"], ["draw_id"], "inner").withColumn(
+    valued = value.value_days(days, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors)
+    return skew_safe_join(drawn, template.rendered_days(valued), ["ticker", "as_of"], ["draw_id"], "inner").withColumn(
         "move_pct", F.round(draw(F.col("draw_id"), "move") * 6 - 3, 1)
     )
 

@@ -60,6 +60,12 @@ LOW_CONTENT_PATTERN = (
     r"|\bHas \$[\d,.]+ (?:Million|Billion) (?:Stock )?(?:Holdings|Position|Stake)\b"
 )
 
+# Pieces of which every match of the pattern above contains at least one, in lower case.
+LOW_CONTENT_PIECES = (
+    "stock", "share", "s why", "s what", "need to know", "s going on with", "still", "should you buy", "hold",
+    "reason", "better buy", "zacks", "position in", "invest", "13f", "portfolio", "has $",
+)
+
 # Keywords that make a headline relevant to a whole sector.
 SECTOR_KEYWORDS = {
     "Technology": (

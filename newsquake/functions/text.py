@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -83,7 +84,16 @@ def is_low_quality_publisher(publisher: Column, denied=K.LOW_QUALITY_PUBLISHERS)
 
 
 def is_low_content(title: Column) -> Column:
-    return title.rlike(_IGNORE_CASE + K.LOW_CONTENT_PATTERN)
+    """True for headline shapes without content.
+
+    The full pattern only runs on texts that hold one of the pieces a match must contain, and its
+    Unicode word rules only on texts that are not plain ASCII.
+    """
+    lowered = F.lower(title)
+    possible = reduce(lambda a, piece: a | lowered.contains(piece), K.LOW_CONTENT_PIECES, title.contains("\u017f"))
+    plain = title.rlike("(?i)" + K.LOW_CONTENT_PATTERN)
+    full = title.rlike(_IGNORE_CASE + K.LOW_CONTENT_PATTERN)
+    return F.when(~possible, F.lit(False)).when(title.rlike(r"^\p{ASCII}*$"), plain).otherwise(full)
 
 
 def brand_core(name: Column, full_unicode: bool = False) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsquake import constants as K
 from newsquake.functions import render
 from newsquake.functions.numeric import draw, draw_index, fill, weighted_choice
-from newsquake.functions.reaction import fuse
+from newsquake.functions.reaction import fuse, text_gap
 from newsquake.operators.lookup import skew_safe_join
 from newsquake.plans.rows import explode_rows, split_of
 
@@ -61,6 +61,14 @@ def fill_fields(template: Column, fields: Sequence[str]) -> Column:
     return fill(template, **{name: F.col(name).cast("string") for name in fields})
 
 
+def rendered_days(valued: DataFrame) -> DataFrame:
+    """What draws need of a valued day; the texts are built once per (ticker, as_of), not per draw."""
+    return render.blocks(valued).select(
+        "ticker", "as_of", "market_data", "valuation", "earnings", "operating_margin", "roe", "peg_ratio",
+        text_gap(F.col("gap_pct")).alias("shown_gap_pct"),
+    )
+
+
 def template_rows(
     drawn: DataFrame,
     pools: DataFrame,
@@ -73,7 +81,7 @@ def template_rows(
     """Stored rows for draws: (draw_id, split, 12 fields).
 
     drawn has one row per draw with news_reaction, ticker, sector, the fill fields, move_pct and
-    the valued-day columns. pools holds (pool, idx, headlines, reasonings); sector_news holds
+    the columns of a rendered day (see rendered_days). pools holds (pool, idx, headlines, reasonings); sector_news holds
     (sector, good_headline, bad_headline, linkage) and replaces some good and bad headlines.
     """
     marked = mark_holdout(pools)
@@ -115,9 +123,10 @@ def template_rows(
     )
     kind, question = render.user_query(F.col("ticker"), F.col(key))
     shown = render.price_context(
-        render.drop_blocks(render.blocks(chosen), key).withColumn("_fraction", F.col("move_pct") / 100), "_fraction"
+        render.drop_blocks(chosen, key).withColumn("_fraction", F.col("move_pct") / 100), "_fraction"
     )
-    fused = fuse(shown.withColumn("fused_gap_pct", render.gap_from_text(F.col("valuation"))), "news_reaction", "fused_gap_pct")
+    read_gap = F.when(F.col("valuation") != K.UNAVAILABLE, F.col("shown_gap_pct"))
+    fused = fuse(shown.withColumn("fused_gap_pct", read_gap), "news_reaction", "fused_gap_pct")
     commentary = F.when(
         (F.col("market_data") != K.UNAVAILABLE) & (draw(F.col(key), "commentary") < K.COMMENTARY_RATE),
         render.value_commentary(F.col("operating_margin"), F.col("roe"), F.col("peg_ratio"), F.col(key)),

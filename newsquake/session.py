@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SALTS_CONF = "spark.newsquake.salts"
 DEFAULT_SALTS = 16
+CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Recording a call site for every column costs several round trips each; long plans feel it.
 DEBUGGING_CONF = "spark.python.sql.dataFrameDebugging.enabled"
 
@@ -28,3 +29,18 @@ def build_session(app: str = "newsquake", **conf: str) -> SparkSession:
 def salts(spark: SparkSession) -> int:
     """Number of salts a skew-safe join spreads one key over."""
     return max(1, int(spark.conf.get(SALTS_CONF, str(DEFAULT_SALTS))))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A frame several branches read, computed once where the session names spark.checkpoint.dir.
+
+    The checkpoint lies in that shared folder, so losing an executor does not lose it. Without the
+    setting the frame stays lazy and each branch computes it again.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    if not folder:
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -55,3 +55,17 @@ def test_top_k_filters_before_the_shuffle(spark):
     best = top_k(df, ["g"], [F.col("id").desc()], 3)
     assert sorted(r["id"] for r in best.collect()) == [994, 995, 996, 997, 998, 999]
     assert "WindowGroupLimit" in best._jdf.queryExecution().toString()
+
+
+def test_settled_follows_the_session(spark, monkeypatch, tmp_path):
+    from newsquake import session
+
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    if spark.conf.get(session.CHECKPOINT_CONF, None) is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+    else:
+        kept = session.settled(df)
+        assert kept is not df
+        assert sorted(map(tuple, kept.collect())) == [(i, 2 * i) for i in range(10)]
+    monkeypatch.setattr(session, "CHECKPOINT_CONF", "spark.newsquake.no-such-setting")
+    assert session.settled(df) is df
