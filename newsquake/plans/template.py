@@ -86,12 +86,13 @@ def template_rows(
     """
     marked = mark_holdout(pools)
     sizes = marked.groupBy("pool").agg(F.count(F.lit(1)).alias("pool_size"))
+    # One row per pool, and a pool per reaction class.
     sized = drawn.join(F.broadcast(sizes), drawn["news_reaction"] == sizes["pool"]).drop("pool")
     placed = sized.withColumn("idx", draw_index(F.col("pool_size"), F.col(key), "template")).withColumnRenamed(
         "news_reaction", "pool"
     )
     joined = skew_safe_join(placed, marked, ["pool", "idx"], [key], "inner").withColumnRenamed("pool", "news_reaction")
-    joined = joined.join(F.broadcast(sector_news), "sector", "left")
+    joined = skew_safe_join(joined, sector_news, ["sector"], [key], "left")
 
     directed = F.col("news_reaction").isin("good", "bad")
     swapped = directed & F.col("linkage").isNotNull() & (draw(F.col(key), "sector-override") < K.SECTOR_OVERRIDE_RATE)
