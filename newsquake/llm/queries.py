@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsquake.llm.common import Shelf, table
 from newsquake.llm.simhash import simhash_components
+from newsquake.llm.suffixes import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,3 +28,10 @@ def op9_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op8_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    cut = remove_repeats(docs, Shelf(spark, "suffixes"), threshold=200)
+    return cut.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
