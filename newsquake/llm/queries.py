@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsquake.llm.automaton import find_items
 from newsquake.llm.common import Shelf, table
 from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
@@ -35,3 +36,17 @@ def op8_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     cut = remove_repeats(docs, Shelf(spark, "suffixes"), threshold=200)
     return cut.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    seen = find_items(docs, table(spark, directory, "benchmark"), Shelf(spark, "automaton"), window=10)
+    return seen.select(
+        "doc_id",
+        "seen.n_words",
+        "seen.n_hit",
+        F.size("seen.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "seen.items"), 256).alias("items_sha256"),
+        (F.col("seen.n_hit") > 0).alias("contaminated"),
+    )
