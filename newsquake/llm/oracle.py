@@ -22,3 +22,25 @@ select dw.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as big
   sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from dw left join covered using (doc_id) left join named using (doc_id)
 """
+
+ORACLE["op4_mixing_sources"] = r"""
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size from documents
+), s as (
+  select source, cast(sum(size) as bigint) source_size, row_number() over (order by source nulls last) r from d group by source
+), w as (select source, source_size, 2.0::double * source_size cap, [3, 1, 2][(r - 1) % 3 + 1] weight, r from s),
+tried as (
+  select a.source, (1.5::double * (select sum(source_size) from w) - coalesce(sum(case when (b.cap / b.weight, b.r) < (a.cap / a.weight, a.r) then b.cap end), 0))
+    / sum(case when (b.cap / b.weight, b.r) >= (a.cap / a.weight, a.r) then b.weight end) level, any_value(a.cap) cap, any_value(a.weight) weight
+  from w a, w b group by a.source
+), final as (select min_by(level, cap / weight) level from tried where level * weight <= cap),
+t as (select w.source, source_size, least(cap, coalesce((select level from final), 1e300) * weight) target from w),
+o as (
+  select doc_id, size, source_size, target, cast(floor(target) as bigint) budget,
+    coalesce(sum(size) over (partition by d.source order by md5(concat_ws(':', 'mix', doc_id, size)), doc_id, size rows between unbounded preceding and 1 preceding), 0) ahead
+  from d join t on d.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+  cast(case when source_size = 0 then 0 else size * (budget // source_size) + greatest(0, least(size, budget - (budget // source_size) * source_size - ahead)) end as bigint) taken
+from o
+"""

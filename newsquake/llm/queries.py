@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsquake.llm.automaton import find_items
 from newsquake.llm.common import Shelf, table
+from newsquake.llm.mixing import mix
 from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
 
@@ -50,3 +51,9 @@ def op10_benchmark_decontamination(spark: SparkSession, directory: str) -> DataF
         F.sha2(F.concat_ws(",", "seen.items"), 256).alias("items_sha256"),
         (F.col("seen.n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op4_mixing_sources(spark: SparkSession, directory: str) -> DataFrame:
+    mixed = mix(table(spark, directory, "documents"), Shelf(spark, "mixing"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
