@@ -12,6 +12,7 @@ from newsquake.llm.common import Shelf, table
 from newsquake.llm.mixing import mix
 from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
+from newsquake.llm.toxicity import score, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,3 +58,10 @@ def op10_benchmark_decontamination(spark: SparkSession, directory: str) -> DataF
 def op4_mixing_sources(spark: SparkSession, directory: str) -> DataFrame:
     mixed = mix(table(spark, directory, "documents"), Shelf(spark, "mixing"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op3_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    chain = train(docs, table(spark, directory, "labels"), Shelf(spark, "toxicity"))
+    return score(docs, chain).select("doc_id", "scores.p_insult", "scores.p_demeaning", "scores.p_toxic", "scores.toxic", (~F.col("scores.toxic")).alias("kept"))
