@@ -82,3 +82,30 @@ select h.page_id, host, path, rule,
   coalesce(v, case when list_has_any(string_split(host, '.'), ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) then 'block' else 'allow' end) verdict
 from h left join best using (page_id)
 """
+
+# The columns of op1 and op6 that their methods do not decide; tests compare them, the rest has brute-force tests.
+BASE: dict[str, str] = {}
+
+BASE["op1_license_scans"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from documents
+), p(phrase, label) as (values (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'), (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')),
+spot as (select doc_id, w, unnest(range(len(w))) i from d where list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
+hit as (select doc_id, i, label from spot join p on w[i + 1] = phrase[1] and w[i + 1 : i + len(phrase)] = phrase),
+told as (select doc_id, count(*) n_base, min(i) first_word, max(i) last_word, string_agg(distinct label, ',' order by label) base_labels from hit group by 1)
+select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_base, 0) as bigint) n_base, first_word, last_word, coalesce(base_labels, '') base_labels
+from d left join told using (doc_id)
+"""
+
+BASE["op6_quality_rules"] = r"""
+with d as (select doc_id, coalesce(text, '') body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+l as (select doc_id, line, count(*) n from (select doc_id, unnest(string_split(body, chr(10))) line from d) where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1, 2),
+dup as (select doc_id, sum(n - 1) n_dup_lines from l group by 1),
+g as (select doc_id, i, w[i : i + 2] g from (select doc_id, w, unnest(range(1, len(w) - 1)) i from d where len(w) > 2)),
+r as (select doc_id, count(distinct p) n_repeat_words from (select doc_id, unnest(range(i, i + 3)) p from (select doc_id, i, count(*) over (partition by doc_id, g) n from g) where n > 1) group by 1)
+select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: len(x))), 0) as bigint) word_chars,
+  cast(len(regexp_extract_all(body, '[#*$%&|<>]')) as bigint) n_symbols, cast(coalesce(n_dup_lines, 0) as bigint) n_dup_lines,
+  cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words, len(w) < 50 or 100 * coalesce(n_repeat_words, 0) > 50 * len(w) base_failed
+from d left join dup using (doc_id) left join r using (doc_id)
+"""

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from newsquake.llm.automaton import find_items
 from newsquake.llm.chat import format_chats
 from newsquake.llm.common import Shelf, table
+from newsquake.llm.languages import identify
+from newsquake.llm.licenses import scan_licenses
+from newsquake.llm.lines import judge_lines, train_field
 from newsquake.llm.mixing import mix
 from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
@@ -99,3 +102,32 @@ def op5_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     bad = F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(h) for h in LISTED_HOSTS]))
     listed = pages.where(bad).select(F.concat(host, path).alias("key"))
     return judge(pages, listed, RULES, Shelf(spark, "urls")).select("page_id", "judged.*")
+
+
+@query
+def op1_license_scans(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = scan_licenses(docs, Shelf(spark, "licenses"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op6_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    field = train_field(docs, table(spark, directory, "labels"), Shelf(spark, "lines"))
+    return judge_lines(docs, field).select("doc_id", "quality.*")
+
+
+@query
+def op7_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages").select("page_id", "url", "html")
+    known = identify(pages, table(spark, directory, "documents"), Shelf(spark, "languages"), keep=["page_id"])
+    language = F.col("language")
+    return known.select(
+        "page_id",
+        language["host"].alias("host"),
+        language["suffix"].alias("suffix"),
+        language["declared"].alias("declared"),
+        language["lang"].alias("lang"),
+        F.round(language["probability"], 6).alias("probability"),
+    )
