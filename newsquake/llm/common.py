@@ -41,6 +41,7 @@ class Shelf:
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
         self.paths: dict[int, str] = {}
+        self.frames: list[DataFrame] = []
 
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -48,14 +49,18 @@ class Shelf:
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = path
+        self.frames.append(kept)  # an id stays one frame's as long as the frame lives
         return kept
 
-    def drop(self, df: DataFrame) -> None:
-        path = self.paths.pop(id(df), None)
-        if path:
+    def drop(self, *frames: DataFrame) -> None:
+        for path in [self.paths.pop(id(f)) for f in frames if id(f) in self.paths]:
             target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Deletes all tables but those of `frames`, from which everything still to come is derived."""
+        self.drop(*[f for f in self.frames if all(f is not kept for kept in frames)])
+
 
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is; null becomes empty."""

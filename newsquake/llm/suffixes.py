@@ -66,24 +66,24 @@ def anchors(data: bytes, threshold: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def cut_ranges(anchor: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The runs cut where the offset passes a multiple of width."""
+def cut_ranges(anchor: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs cut where the offset passes a multiple of width, each after the number of its run."""
     pieces = high // width - low // width + 1
     source = np.repeat(np.arange(len(anchor)), pieces)
     rank = np.arange(len(source)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     cell = low[source] // width + rank
-    return anchor[source], np.maximum(low[source], cell * width), np.minimum(high[source], cell * width + width - 1)
+    return source, anchor[source], np.maximum(low[source], cell * width), np.minimum(high[source], cell * width + width - 1)
 
 
-def hashes(data: bytes, base: int, anchor, low, high, width: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Core and hull digits of the nodes; data starts at byte `base` of the text."""
+def hashes(texts: list[bytes], source, base, anchor, low, high, width: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Core and hull digits of the nodes; a node's text starts at byte `base` of the document."""
     digest = xxhash.xxh3_64_intdigest
     cell = low // width * width
     top = np.minimum(cell + width - 1, threshold - GRAM)
-    rows = zip((anchor - cell - base).tolist(), (anchor - top - base + threshold).tolist(), (anchor - high - base).tolist(), (anchor - low - base + threshold).tolist(), cell.tolist(), (low << 12 | high).tolist())
-    pairs = [(digest(data[a:b], c), digest(data[d:e], r)) for a, b, d, e, c, r in rows]
-    both = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-    return both[:, 0], both[:, 1]
+    ends = [x.tolist() for x in (source, anchor - cell - base, anchor - top - base + threshold, cell, anchor - high - base, anchor - low - base + threshold, low << 12 | high)]
+    core = np.fromiter((digest(texts[i][a:b], c) for i, a, b, c in zip(*ends[:4])), np.uint64, len(source))
+    hull = np.fromiter((digest(texts[i][a:b], r) for i, a, b, r in zip(ends[0], *ends[4:])), np.uint64, len(source))
+    return core.view(np.int64), hull.view(np.int64)
 
 
 def packed(anchor, low, high):
@@ -126,9 +126,9 @@ def _first_nodes(threshold: int):
                 data = batch.column(2)[i].as_py()
                 if data is None or len(data) < threshold:
                     continue
-                cuts = cut_ranges(*anchors(data, threshold), width)
-                rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), packed(*cuts), *hashes(data, 0, *cuts, width, threshold)))
-                held += len(cuts[0])
+                source, *cuts = cut_ranges(*anchors(data, threshold), width)
+                rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), packed(*cuts), *hashes([data], np.zeros_like(source), 0, *cuts, width, threshold)))
+                held += len(source)
                 if held > NODES:
                     yield _node_batches(rows, names, types)
                     rows, held = [], 0
@@ -144,25 +144,24 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), tag.alias("tag"), F.col(text_col).cast("binary").alias("data"))
 
 
-def _repeated(nodes: DataFrame) -> DataFrame:
-    """The nodes whose core another node has too."""
-    often = nodes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+def _repeated(nodes: DataFrame, shelf: Shelf) -> DataFrame:
+    """The nodes whose core another node has too. The counts are written first, so that Spark may split a hot core in the join."""
+    often = shelf.put(nodes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
     return nodes.join(often, "core", "left_semi")
 
 
-def _sorted_out(nodes: DataFrame) -> DataFrame:
+def _sorted_out(nodes: DataFrame, shelf: Shelf) -> DataFrame:
     """Repeated nodes with `settled` (its hull has a twin) and `deeper` (to be split for the next pass).
 
     A node without a twin goes deeper if other hulls share its core; so does one of each set of twins, as a partner.
     """
-    twins = nodes.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tag", "place")).alias("one"))
-    cores = twins.groupBy("core").agg(F.count(F.lit(1)).alias("hulls"), F.count_if(F.col("n") == 1).alias("single"))
-    told = nodes.join(twins, ["core", "hull"]).join(cores, "core")
-    return told.select(
-        *nodes.columns,
-        (F.col("n") > 1).alias("settled"),
-        ((F.col("hulls") > 1) & (F.col("single") > 0) & F.col("one").eqNullSafe(F.struct("id", "tag", "place"))).alias("deeper"),
-    )
+    twins = shelf.put(nodes.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tag", "place")).alias("one")))
+    cores = shelf.put(twins.groupBy("core").agg(F.count(F.lit(1)).alias("hulls"), F.count_if(F.col("n") == 1).alias("single")).where("hulls > 1 and single > 0").select("core", F.lit(True).alias("mixed")))
+    judged = shelf.put(twins.join(cores, "core", "left"))
+    shelf.drop(twins)
+    told = nodes.join(judged, ["core", "hull"])
+    deeper = F.coalesce("mixed", F.lit(False)) & F.col("one").eqNullSafe(F.struct("id", "tag", "place"))
+    return told.select(*nodes.columns, (F.col("n") > 1).alias("settled"), deeper.alias("deeper"))
 
 
 def _edges(threshold: int):
@@ -192,22 +191,18 @@ def _edges(threshold: int):
 
 def _deeper_nodes(threshold: int, width: int):
     """The nodes of the next pass; reads (id, tag, place, base, data), outer is the place they come from."""
-    names, types = ["id", "tag", "outer", "place", "core", "hull"], [pa.int64()] * 4
+    names = ["id", "tag", "outer", "place", "core", "hull"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, held = [], 0
-            places = batch.column(2).to_numpy()
-            for i in range(batch.num_rows):
-                data, base = batch.column(4)[i].as_py(), batch.column(3)[i].as_py()
-                cuts = cut_ranges(*unpacked(places[i : i + 1]), width)
-                rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), np.repeat(places[i], len(cuts[0])), packed(*cuts), *hashes(data, base, *cuts, width, threshold)))
-                held += len(cuts[0])
-                if held > NODES:
-                    yield _node_batches(rows, names, types)
-                    rows, held = [], 0
-            if rows:
-                yield _node_batches(rows, names, types)
+            for at in range(0, batch.num_rows, NODES // 64):  # a node has some 16 parts
+                part = batch.slice(at, NODES // 64)
+                places = part.column("place").to_numpy()
+                source, anchor, low, high = cut_ranges(*unpacked(places), width)
+                digits = hashes(part.column("data").to_pylist(), source, part.column("base").to_numpy()[source], anchor, low, high, width, threshold)
+                index = pa.array(source)
+                columns = [part.column("id").take(index), part.column("tag").take(index), pa.array(places[source]), pa.array(packed(anchor, low, high)), *map(pa.array, digits)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -228,9 +223,10 @@ def repeated_windows(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col
     if not GRAM <= threshold < 4096:
         raise ValueError("threshold must lie between 8 and 4095 bytes")
     width = first_width(threshold)
-    # The first nodes are made twice, for the counts and for the join: reading the texts again costs less than storing them.
-    nodes = shelf.put(_repeated(rows_of(docs, id_col, text_col).mapInArrow(_first_nodes(threshold), NODE)))
-    told = shelf.put(_sorted_out(nodes))
+    first = shelf.put(rows_of(docs, id_col, text_col).mapInArrow(_first_nodes(threshold), NODE))
+    nodes = shelf.put(_repeated(first, shelf))
+    shelf.drop(first)
+    told = shelf.put(_sorted_out(nodes, shelf))
     shelf.drop(nodes)
     settled = [told.where("settled").select("id", "tag", "place")]
     wanted = told.where("deeper").groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
@@ -239,8 +235,11 @@ def repeated_windows(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col
     edges = shelf.put(held.mapInArrow(_edges(threshold), "id bigint, tag int, place bigint, base bigint, data binary"))
     while width > 1:
         width = max(1, width // 8)
-        nodes = _repeated(edges.mapInArrow(_deeper_nodes(threshold, width), "id bigint, tag int, outer bigint, place bigint, core bigint, hull bigint"))
-        told = shelf.put(_sorted_out(nodes))
+        split = shelf.put(edges.mapInArrow(_deeper_nodes(threshold, width), "id bigint, tag int, outer bigint, place bigint, core bigint, hull bigint"))
+        nodes = shelf.put(_repeated(split, shelf))
+        shelf.drop(split)
+        told = shelf.put(_sorted_out(nodes, shelf))
+        shelf.drop(nodes)
         settled.append(told.where("settled").select("id", "tag", "place"))
         if width > 1:
             inner = told.where("deeper").select("id", "tag", "outer", "place")
@@ -252,7 +251,9 @@ def repeated_windows(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col
     runs = settled[0]
     for more in settled[1:]:
         runs = runs.union(more)
-    return shelf.put(runs.groupBy("id", "tag").agg(F.collect_list("place").alias("places")))
+    found = shelf.put(runs.groupBy("id", "tag").agg(F.collect_list("place").alias("places")))
+    shelf.keep_only(found)
+    return found
 
 
 def merged(places: np.ndarray, threshold: int) -> list[tuple[int, int]]:
