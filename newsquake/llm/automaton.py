@@ -145,10 +145,23 @@ def _united(ranges) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-SEEN = "n_words bigint, n_hit bigint, longest bigint, ranges array<bigint>, items array<string>"
+def without_ranges(data: bytes, spans: list[tuple[int, int]]) -> str:
+    """A text without the given ranges of its words, each from its first to its last word."""
+    # The plain form has the length of the text, so the words' places hold in both.
+    plain = np.frombuffer(data.translate(_WORD_BYTES), np.uint8)
+    turns = np.flatnonzero(np.diff(np.concatenate(([0], (plain != 32).view(np.int8), [0]))))
+    at, kept = 0, []
+    for start, end in spans:
+        kept.append(data[at : turns[2 * start]])
+        at = turns[2 * end - 1]
+    kept.append(data[at:])
+    return b"".join(kept).decode("utf-8", "ignore")
 
 
-def _scan(broadcast):
+SEEN = "n_words bigint, n_hit bigint, longest bigint, ranges array<bigint>, items array<string>, rest string"
+
+
+def _scan(broadcast, cut: bool):
     """One block: adds its ranges (start << 32 | end, in words) and items to those of the blocks before."""
 
     @F.pandas_udf(SEEN)
@@ -164,14 +177,16 @@ def _scan(broadcast):
                     names |= set(named.tolist())
                     reach = max(reach, int(most))
                 found = _united(found)
-                rows.append((len(words), sum(b - a for a, b in found), reach, [a << 32 | b for a, b in found], sorted(names)))
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "longest", "ranges", "items"])
+                rest = without_ranges(data, found) if cut and found else None
+                rows.append((len(words), sum(b - a for a, b in found), reach, [a << 32 | b for a, b in found], sorted(names), rest))
+            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "longest", "ranges", "items", "rest"])
 
     return scan
 
 
-def find_items(docs: DataFrame, items: DataFrame, shelf: Shelf, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", into: str = "seen", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """`docs` with a struct `into`: n_words, n_hit (words inside windows), longest (match, in words), ranges, items.
+def find_items(docs: DataFrame, items: DataFrame, shelf: Shelf, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", into: str = "seen", cut: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """`docs` with a struct `into`: n_words, n_hit (words inside windows), longest (match, in words), ranges, items,
+    and, with `cut`, rest: the text without the ranges, null where nothing is hit.
 
     A window is `window` consecutive words of an item; an item of fewer words, but not none, is one window.
     items lists, sorted, the ids as strings of items that have an occurring window (a null id is empty);
@@ -186,7 +201,7 @@ def find_items(docs: DataFrame, items: DataFrame, shelf: Shelf, window: int = 10
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == b).collect()
         automaton = Automaton([(r.name, words_of(r.body.encode("utf-8", "replace"))) for r in sorted(part)], window)
-        scan = _scan(spark.sparkContext.broadcast(cloudpickle.dumps(automaton)))
+        scan = _scan(spark.sparkContext.broadcast(cloudpickle.dumps(automaton)), cut and b == blocks - 1)
         if b:
             out = shelf.put(out)
         found = scan(F.col(text_col).cast("binary"), F.col(f"{into}.ranges"), F.col(f"{into}.items"), F.col(f"{into}.longest"))
@@ -201,24 +216,7 @@ def without_items(docs: DataFrame, items: DataFrame, shelf: Shelf, window: int =
     cut stays. A document with over `most` of its words inside windows goes as a whole. Documents without a hit
     are unchanged, null and empty texts included.
     """
-    seen = find_items(docs, items, shelf, window, text_col, into="_seen", **settings)
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-        out = []
-        for data, spans in zip(texts, ranges):
-            # The plain form has the length of the text, so the words' places hold in both.
-            plain = np.frombuffer(data.translate(_WORD_BYTES), np.uint8)
-            inside = np.concatenate(([0], (plain != 32).view(np.int8), [0]))
-            turns = np.flatnonzero(np.diff(inside))
-            at, kept = 0, []
-            for r in spans.tolist():
-                kept.append(data[at : turns[2 * (r >> 32)]])
-                at = turns[2 * (r & 0xFFFFFFFF) - 1]
-            kept.append(data[at:])
-            out.append(b"".join(kept).decode("utf-8", "ignore"))
-        return pd.Series(out)
-
+    seen = find_items(docs, items, shelf, window, text_col, into="_seen", cut=True, **settings)
     stay = seen.where(F.col("_seen.n_hit") <= F.lit(most) * F.col("_seen.n_words"))
-    text = F.when(F.col("_seen.n_hit") > 0, cut(F.col(text_col).cast("binary"), F.col("_seen.ranges"))).otherwise(F.col(text_col)).alias(text_col)
+    text = F.when(F.col("_seen.n_hit") > 0, F.col("_seen.rest")).otherwise(F.col(text_col)).alias(text_col)
     return stay.select(*[text if c == text_col else F.col(c) for c in docs.columns])

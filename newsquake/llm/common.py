@@ -29,6 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Python workers take texts in small batches: a few thousand long ones at once would not fit beside the executor's heap.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 class Shelf:
     """Intermediate tables of one run of an operator, written where every executor can read them.
 
@@ -39,6 +43,8 @@ class Shelf:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        for key, value in ARROW_CONF.items():
+            spark.conf.set(key, value)
         self.count = 0
         self.paths: dict[int, str] = {}
         self.frames: list[DataFrame] = []

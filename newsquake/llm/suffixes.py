@@ -265,18 +265,19 @@ def merged(places: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     return list(zip(starts[fresh].tolist(), ends[np.concatenate((fresh[1:], [True]))].tolist()))
 
 
-def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text", into: str = "cut") -> DataFrame:
+def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text", into: str = "cut", as_text: bool = False) -> DataFrame:
     """`docs` with a struct column `into`: kept (binary, the bytes that remain), n_bytes, n_removed, n_spans.
 
     Every byte under a repeated window of `threshold` bytes goes, all copies alike; windows are judged on the
     whole input, in and across documents, and never cross documents. Null texts are empty; texts shorter than
     the threshold stay whole. Rows that repeat id and text are documents of their own, so each loses everything
     from the threshold on. Rows that share an id but not the text are told apart by 16 bits of a text hash.
-    Null ids are allowed. An empty table gives an empty result. Other columns of `docs` pass through.
+    Null ids are allowed. An empty table gives an empty result. Other columns of `docs` pass through. With
+    `as_text`, kept is a string, without the pieces of characters that were cut in two.
     """
     found = repeated_windows(docs, shelf, threshold, id_col, text_col)
 
-    @F.pandas_udf("kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    @F.pandas_udf(f"kept {'string' if as_text else 'binary'}, n_bytes bigint, n_removed bigint, n_spans bigint")
     def cut(texts, runs):
         import pandas as pd
 
@@ -290,7 +291,7 @@ def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col:
                 at = end
             kept.append(data[at:])
             kept = b"".join(kept)
-            rows.append((kept, len(data), len(data) - len(kept), len(spans)))
+            rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(data), len(data) - len(kept), len(spans)))
         return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans"])
 
     keyed = docs.select(*docs.columns, F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("_tag"))
@@ -304,11 +305,6 @@ def without_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col:
 
     Null texts stay null; a text that is repeated throughout becomes empty. Nothing else changes.
     """
-    cut = remove_repeats(docs, shelf, threshold, id_col, text_col, into="_cut")
-
-    @F.pandas_udf("string")
-    def whole(kept):
-        return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
-    text = F.when(F.col("_cut.n_removed") > 0, whole("_cut.kept")).otherwise(F.col(text_col)).alias(text_col)
+    cut = remove_repeats(docs, shelf, threshold, id_col, text_col, into="_cut", as_text=True)
+    text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col(text_col)).alias(text_col)
     return cut.select(*[text if c == text_col else F.col(c) for c in docs.columns])
