@@ -24,8 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see; one of our own only where the session names none."""
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="newsquake-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsquake-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, shelf: Shelf, id_col: str = "doc_i
     bags = shelf.put(bags.select("id", "label", F.array_distinct(F.concat("full", *begun)).alias("words")))
     total, bad = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not bad or bad == total:
-        return Chain([], [np.array([-3.0])] * len(CATEGORIES))
+        return Chain([], [np.array([0.0] * i + [-3.0]) for i in range(len(CATEGORIES))])  # earlier probabilities count nothing
     counted = bags.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("n"))
     # Chi-square of word against class.
     gap = F.col("a") * total - F.col("n") * F.lit(float(bad))
