@@ -253,7 +253,7 @@ def test_line_field_learns(spark, docs, nothing, shelf):
     assert all(got[i].content_share > 0.5 if q else got[i].content_share < 0.5 for i, _, q in rows)
     blank = lines.train_field(nothing, labels, shelf)
     out = {str(r.doc_id): r.quality for r in lines.judge_lines(docs, blank).collect()}
-    assert out["1"].kept and not out["6"].kept and out["8"].n_words == 0 and out["13"].n_words == 30_000
+    assert out["1"].content_share == 1.0 and not out["6"].kept and out["8"].n_words == 0 and out["13"].n_words == 30_000
 
 
 def test_chain_learns_and_needs_labels(spark, docs, nothing, shelf):
