@@ -492,7 +492,7 @@ _SUSPECT = _q("(?i)" + K.SUSPICIOUS_TEXT_PATTERN)
 _sql(
     "flt12_generated_text_check",
     f"""WITH g AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 'NOTE: ' ELSE 'Reasoning: ' END || text
-        || CASE WHEN turn % 2 = 0 THEN chr(10) || 'ANSWER: ' || substr(text, 1, 500) ELSE '' END AS t FROM conversations),
+        || CASE WHEN turn % 2 = 0 THEN chr(10) || 'ANSWER: ' || text ELSE '' END AS t FROM conversations),
     p AS (SELECT conv_id, turn, regexp_replace(regexp_extract(t, '(?is)REASONING:\\s*(.*?)(?:\\n\\s*ANSWER:|$)', 1), '^\\s+|\\s+$', '', 'g') AS r,
         regexp_replace(regexp_extract(t, '(?is)ANSWER:\\s*(.*)', 1), '^\\s+|\\s+$', '', 'g') AS a FROM g),
     j AS (SELECT *, CASE WHEN r = '' THEN 'no_reasoning' WHEN length(r) > 800 OR length(a) > 400 THEN 'too_long'
@@ -874,7 +874,7 @@ _sql(
     n4 AS (SELECT feed_pos, list_concat([{_LINE}], list_slice([{_noise('first', 1)}, {_noise('second', 2)}, {_noise('third', 3)}], 1, size)) AS lines FROM n3)
     SELECT feed_pos, string_agg(line, chr(10) ORDER BY sha256(feed_pos || ':' || line)) AS news FROM (SELECT feed_pos, unnest(lines) AS line FROM n4) GROUP BY 1""",
 )
-_sql("fn29_window_index", "SELECT CASE WHEN window_idx BETWEEN 1 AND 18 THEN window_idx ELSE 0 END::BIGINT AS window_idx, count(*) AS n FROM headlines GROUP BY 1")
+_sql("fn29_window_index", "SELECT CASE WHEN window_idx BETWEEN 1 AND 400 THEN window_idx ELSE 0 END::BIGINT AS window_idx, count(*) AS n FROM headlines GROUP BY 1")
 _sql("fn30_trait_rolls", f"SELECT c_custkey, {_r(_draw('c_name', 'dividend'))} AS roll FROM customer", prelude=False)
 _DAY_KEY = "(ticker || '|' || as_of::VARCHAR)"
 

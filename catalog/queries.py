@@ -215,7 +215,7 @@ def _(t):
 @query("flt12_generated_text_check")
 def _(t):
     turns = t.read("conversations")
-    answer = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("\nANSWER: "), F.substring("text", 1, 500))).otherwise("")
+    answer = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("\nANSWER: "), F.col("text"))).otherwise("")
     head = F.when(F.col("role") == "system", "NOTE: ").otherwise("Reasoning: ")
     parsed = text.parse_generated_text(F.concat(head, F.col("text"), answer))
     return turns.withColumn("p", parsed).select(
@@ -333,7 +333,7 @@ def _(t):
 
 @query("join9_sector_lookup")
 def _(t):
-    return t.entities.join(F.broadcast(sector_table(t.spark)), "sector", "left").select(
+    return t.entities.join(sector_table(t.spark), "sector", "left").select(
         "ticker", "sector", "median_pe", "asset_heavy", "reit", F.col("keyword_pattern").isNotNull().alias("has_keywords")
     )
 
@@ -684,7 +684,7 @@ def _(t):
 @query("fn29_window_index")
 def _(t):
     end = F.date_sub(_feed_end(), K.POST_PUBLISH_DAYS)
-    index = window_index(F.to_date("published_at"), end)
+    index = window_index(F.to_date("published_at"), end, FEED_WEEKS)
     return t.feed.groupBy(F.coalesce(index, F.lit(0)).cast("long").alias("window_idx")).agg(_count().alias("n"))
 
 

@@ -14,23 +14,8 @@ from pyspark.sql import types as T
 
 from newsquake import constants as K
 
-# Java reads \b, \w and case folding as ASCII unless told otherwise.
-_IGNORE_CASE = "(?iU)"
-
-
-def _accent_tables() -> tuple[str, str]:
-    """Single-letter accent folds of the Latin blocks, derived from Unicode decompositions."""
-    source, target = [], []
-    for point in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
-        char = chr(point)
-        base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if base != char and len(base) == 1:
-            source.append(char)
-            target.append(base)
-    return "".join(source), "".join(target)
-
-
-_ACCENTED, _PLAIN = _accent_tables()
+# Java reads \b, \w and case folding as ASCII unless told otherwise, and ends lines for `.` at more than \n.
+_IGNORE_CASE = "(?iUd)"
 
 
 def _nfkd_without_marks():
@@ -47,15 +32,13 @@ def _nfkd_without_marks():
     return F.pandas_udf(folded, T.StringType())
 
 
-def normalize_for_match(text: Column, full_unicode: bool = False) -> Column:
+def normalize_for_match(text: Column) -> Column:
     """Accents folded, lower case, '.' and ',' dropped, blanks collapsed.
 
-    The default folds the Latin letters inside the JVM; full_unicode runs the complete NFKD
-    decomposition in one Arrow UDF, for scripts outside those blocks.
+    ASCII texts stay in the JVM; only the others go through the complete NFKD decomposition, an Arrow UDF.
     """
-    folded = _nfkd_without_marks()(text) if full_unicode else F.regexp_replace(
-        F.translate(text, _ACCENTED, _PLAIN), r"\p{Mn}+", ""
-    )
+    ascii_only = text.rlike(r"^\p{ASCII}*$")
+    folded = F.when(ascii_only, text).otherwise(_nfkd_without_marks()(F.when(~ascii_only, text)))
     bare = F.translate(F.lower(folded), ".,", "")
     return F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
 
@@ -91,24 +74,24 @@ def is_low_content(title: Column) -> Column:
     """
     lowered = F.lower(title)
     possible = reduce(lambda a, piece: a | lowered.contains(piece), K.LOW_CONTENT_PIECES, title.contains("\u017f"))
-    plain = title.rlike("(?i)" + K.LOW_CONTENT_PATTERN)
+    plain = title.rlike("(?id)" + K.LOW_CONTENT_PATTERN)
     full = title.rlike(_IGNORE_CASE + K.LOW_CONTENT_PATTERN)
     return F.when(~possible, F.lit(False)).when(title.rlike(r"^\p{ASCII}*$"), plain).otherwise(full)
 
 
-def brand_core(name: Column, full_unicode: bool = False) -> Column:
+def brand_core(name: Column) -> Column:
     """Company name without legal-form words at either end."""
     words = "|".join(K.LEGAL_SUFFIX_WORDS)
-    text = normalize_for_match(name, full_unicode)
+    text = normalize_for_match(name)
     text = F.regexp_replace(text, rf"^(?:(?:{words})(?: |$))+", "")
     return F.regexp_replace(text, rf"(?:(?:^| )(?:{words}))+$", "")
 
 
-def name_needle(name: Column, full_unicode: bool = False) -> Column:
+def name_needle(name: Column) -> Column:
     """What a headline is searched for: the core, or the whole name when the core is one common word."""
-    core = brand_core(name, full_unicode)
+    core = brand_core(name)
     specific = (core != "") & (core.contains(" ") | ~core.isin(*K.AMBIGUOUS_NAME_CORES))
-    needle = F.when(specific, core).otherwise(normalize_for_match(name, full_unicode))
+    needle = F.when(specific, core).otherwise(normalize_for_match(name))
     return F.when(F.length(needle) >= K.MIN_NEEDLE_LENGTH, needle).otherwise("")
 
 
@@ -125,10 +108,10 @@ def sector_pattern(sector: str) -> str:
 
 
 def is_relevant(
-    title: Column, needle_pattern: Column, ticker_pattern: Column, keyword_pattern: Column, full_unicode: bool = False
+    title: Column, needle_pattern: Column, ticker_pattern: Column, keyword_pattern: Column
 ) -> Column:
     """Name on word boundaries, or ticker as a case-sensitive word, or a sector keyword; null patterns never match."""
-    by_name = F.rlike(normalize_for_match(title, full_unicode), needle_pattern)
+    by_name = F.rlike(normalize_for_match(title), needle_pattern)
     by_ticker = F.rlike(title, ticker_pattern)
     by_sector = F.rlike(title, F.concat(F.lit(_IGNORE_CASE), keyword_pattern))
     no = F.lit(False)

@@ -25,11 +25,11 @@ def first_seen(headlines: DataFrame) -> DataFrame:
     return headlines.groupBy("ticker", "title").agg(first).select("ticker", "title", "f.*")
 
 
-def entity_patterns(entities: DataFrame, sectors: DataFrame, full_unicode: bool = False) -> DataFrame:
+def entity_patterns(entities: DataFrame, sectors: DataFrame) -> DataFrame:
     """(ticker, needle_pattern, ticker_pattern, keyword_pattern), null where a tier does not apply."""
-    needle = name_needle(F.coalesce("name", F.lit("")), full_unicode)
+    needle = name_needle(F.coalesce("name", F.lit("")))
     # The sector table has one row per known sector, a fixed handful.
-    keywords = F.broadcast(sectors.select("sector", "keyword_pattern"))
+    keywords = sectors.select("sector", "keyword_pattern")
     return (
         entities.withColumn("_needle", needle)
         .join(keywords, "sector", "left")
@@ -42,10 +42,10 @@ def entity_patterns(entities: DataFrame, sectors: DataFrame, full_unicode: bool
     )
 
 
-def regex_reason(df: DataFrame, full_unicode: bool = False) -> DataFrame:
+def regex_reason(df: DataFrame) -> DataFrame:
     """skip_reason of the rule-based path, first match wins; needs the entity patterns as columns."""
     relevant = is_relevant(
-        F.col("title"), F.col("needle_pattern"), F.col("ticker_pattern"), F.col("keyword_pattern"), full_unicode
+        F.col("title"), F.col("needle_pattern"), F.col("ticker_pattern"), F.col("keyword_pattern")
     )
     reason = (
         F.when(is_low_quality_publisher(F.col("publisher")), "low_quality_publisher")
@@ -61,7 +61,10 @@ def screened_pool(unseen: DataFrame, assessments: DataFrame, pool: int = K.SCREE
     Each group is at most the pool size, because the rank filter runs before it is gathered.
     """
     pooled = top_k(unseen, ["ticker", "window_idx"], [F.col("feed_pos")], pool, "pool_rank")
-    assessed = pooled.join(assessments.dropDuplicates(["ticker", "feed_pos"]), ["ticker", "feed_pos"], "left")
+    # Of conflicting assessments the least row counts, whichever arrives first.
+    told = [c for c in assessments.columns if c not in ("ticker", "feed_pos")]
+    one = assessments.groupBy("ticker", "feed_pos").agg(F.min(F.struct(*told)).alias("told")).select("ticker", "feed_pos", "told.*")
+    assessed = pooled.join(one, ["ticker", "feed_pos"], "left")
     window = Window.partitionBy("ticker", "window_idx")
     covered = F.min(F.col("importance").isNotNull() & F.col("relevant").isNotNull()).over(window)
     return assessed.withColumn("covered", covered)
@@ -72,7 +75,6 @@ def select_headlines(
     assessments: DataFrame,
     entities: DataFrame,
     sectors: DataFrame,
-    full_unicode: bool = False,
 ) -> DataFrame:
     """Every considered headline with its path, skip_reason (null when selected) and attempt order.
 
@@ -93,10 +95,10 @@ def select_headlines(
     )
     open_windows = (
         pool.where(~F.col("covered")).select("ticker", "window_idx").distinct()
-        .join(entity_patterns(entities, sectors, full_unicode), "ticker")
+        .join(entity_patterns(entities, sectors), "ticker")
     )
     candidates = skew_safe_join(unseen, open_windows, ["ticker", "window_idx"], ["feed_pos"], "inner")
-    ruled = regex_reason(candidates, full_unicode).select(
+    ruled = regex_reason(candidates).select(
         "ticker", "window_idx", "feed_pos", "title", "publisher", "published_at",
         F.lit("regex").alias("path"),
         "skip_reason",

@@ -87,7 +87,7 @@ def template_rows(
     marked = mark_holdout(pools)
     sizes = marked.groupBy("pool").agg(F.count(F.lit(1)).alias("pool_size"))
     # One row per pool, and a pool per reaction class.
-    sized = drawn.join(F.broadcast(sizes), drawn["news_reaction"] == sizes["pool"]).drop("pool")
+    sized = drawn.join(sizes, drawn["news_reaction"] == sizes["pool"]).drop("pool")
     placed = sized.withColumn("idx", draw_index(F.col("pool_size"), F.col(key), "template")).withColumnRenamed(
         "news_reaction", "pool"
     )

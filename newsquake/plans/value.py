@@ -140,7 +140,7 @@ def with_fundamentals(facts: DataFrame, fundamentals: DataFrame, sectors: DataFr
         *[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in ("sector", "currency", "financial_currency")],
     )
     # The sector table has one row per known sector, a fixed handful.
-    known = F.broadcast(sectors.select("sector", "median_pe", "asset_heavy", "reit"))
+    known = sectors.select("sector", "median_pe", "asset_heavy", "reit")
     described = snapshot.join(known, "sector", "left").withColumns(
         {"asset_heavy": F.coalesce("asset_heavy", F.lit(False)), "reit": F.coalesce("reit", F.lit(False))}
     )

@@ -83,7 +83,7 @@ def test_brand_core_and_needle(spark):
 
 def test_full_unicode_normalization(spark):
     values = ["Ｎestlé  S.A.", "ﬁnance, Ltd", "ČEZ Ångström"]
-    assert verdicts(spark, values, lambda c: text.normalize_for_match(c, True)) == ["nestle sa", "finance ltd", "cez angstrom"]
+    assert verdicts(spark, values, text.normalize_for_match) == ["nestle sa", "finance ltd", "cez angstrom"]
     assert verdicts(spark, values[2:], text.normalize_for_match) == ["cez angstrom"]
 
 
@@ -150,3 +150,11 @@ def test_json_and_fields(spark):
     calls = ['{"recommendation": "BUY", "reasoning": "..."}', "not json", '{"recommendation": "STRONG_BUY"}', '{\n "recommendation" :  "SELL" ,']
     got = verdicts(spark, calls, lambda c: text.field_text(c, K.RECOMMENDATION_FIELD_PATTERN))
     assert got == ["BUY", None, None, "SELL"]
+
+
+def test_folding_outside_ascii_and_the_dot(spark):
+    rows = [("Foo\u2122 rises", "footm rises"), ("Stra\u0133ten wins\u2026 big", "straijten wins big"), ("\uff21pple", "apple"), ("\ufb01rm", "firm"), ("plain, text.", "plain text"), (None, None)]
+    df = spark.createDataFrame(rows, "raw string, wanted string")
+    assert all(r.got == r.wanted for r in df.select(text.normalize_for_match(F.col("raw")).alias("got"), "wanted").collect())
+    breaks = spark.createDataFrame([(f"Why{c}Acme stock dropped",) for c in ("\r", "\x85", "\u2028")], "t string")
+    assert [r[0] for r in breaks.select(text.is_low_content(F.col("t"))).collect()] == [True] * 3
