@@ -130,8 +130,11 @@ def train_field(docs: DataFrame, labels: DataFrame, shelf: Shelf, id_col: str =
         return pd.Series([lines_of(t or "")[0].tolist() for t in texts])
 
     rows = F.broadcast(shelf.put(picked))  # two times `sample` rows at most
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(rows, "id")
-    found = texts.select("id", "quality", features("text").alias("x")).where(F.size("x") > 0).orderBy("id").collect()
+    # Stored first: a test on features would be pushed below the join and run on every document.
+    texts = shelf.put(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(rows, "id"))
+    told = shelf.put(texts.select("id", "quality", features("text").alias("x")))
+    found = told.where(F.size("x") > 0).orderBy("id").collect()
+    shelf.drop(texts)
     if len({r.quality for r in found}) < 2:
         return np.zeros((len(FEATURES), LABELS)), np.zeros((LABELS, LABELS))
     sequences = []
