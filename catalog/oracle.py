@@ -592,7 +592,7 @@ _sql(
     "join10_33_answers",
     f"SELECT feed_pos, {_KIND} AS kind, {_QUESTION} AS question, {_answer(_KIND, _CALL3.format('feed_pos'))} AS answer FROM headlines",
 )
-_sql("join13_pending_entities", "SELECT ticker, name FROM ent WHERE ticker NOT IN (SELECT ticker FROM prices)")
+_sql("join13_pending_entities", "SELECT ticker, name FROM ent WHERE ticker NOT IN (SELECT ticker FROM headlines WHERE window_idx = 200)")
 _sql("join15_scored_predictions", "SELECT row_id, model, task, expected, predicted, correct, json_ok, nonempty FROM marked")
 _sql("join17_weekly_windows", "SELECT ticker, window_idx::BIGINT AS window_idx, after::VARCHAR AS after, before::VARCHAR AS before FROM weeks")
 _sql(
@@ -676,8 +676,8 @@ ORACLE["srt2_valuation_ranking"] = LAST_DAYS + f"""SELECT ticker, as_of::VARCHAR
 ORACLE["snk6_spot_check"] = LAST_DAYS + (
     "SELECT ticker, as_of::VARCHAR AS as_of, true AS market_data_matches, ticker <> 'NATION_3' AS valuation_matches, true AS earnings_matches FROM days"
 )
-ORACLE["prj7_typed_from_text"] = LAST_DAYS + f""", t AS (SELECT ticker, price IS NOT NULL AND market_cap IS NOT NULL AND eps_known IS NOT NULL AS known, * EXCLUDE (ticker) FROM shown)
-  SELECT ticker, CASE WHEN known THEN printf('%.2f', price) END AS price, CASE WHEN known THEN coalesce(printf('%.1f', pe_trailing), 'N/A') END AS pe_trailing,
+ORACLE["prj7_typed_from_text"] = PRELUDE + f""", t AS (SELECT ticker, price IS NOT NULL AND market_cap IS NOT NULL AND eps_known IS NOT NULL AS known, * EXCLUDE (ticker) FROM shown)
+  SELECT ticker, as_of::VARCHAR AS as_of, CASE WHEN known THEN printf('%.2f', price) END AS price, CASE WHEN known THEN coalesce(printf('%.1f', pe_trailing), 'N/A') END AS pe_trailing,
     CASE WHEN known THEN coalesce(printf('%.1f', nullif(pe_forward, 0)), 'N/A') END AS pe_forward,
     CASE WHEN known AND median_pe IS NOT NULL THEN sector END AS sector,
     CASE WHEN text_gap IS NOT NULL THEN {_LABEL} END AS basis, CASE WHEN text_gap IS NOT NULL THEN printf('%.2f', intrinsic) END AS intrinsic,
@@ -940,6 +940,17 @@ _sql(
 )
 _sql(
     "set1_4_entity_sets",
-    """SELECT DISTINCT ticker, 'prices' AS part FROM prices UNION ALL SELECT DISTINCT ticker, 'headlines' FROM headlines
-    UNION ALL SELECT DISTINCT ticker, 'headlines only' FROM headlines WHERE ticker NOT IN (SELECT ticker FROM prices)""",
+    """SELECT DISTINCT ticker, 'prices' AS part FROM prices UNION ALL SELECT DISTINCT ticker, 'headlines' FROM headlines WHERE window_idx = 200
+    UNION ALL SELECT DISTINCT ticker, 'prices only' FROM prices WHERE ticker NOT IN (SELECT ticker FROM headlines WHERE window_idx = 200)""",
+)
+_sql(
+    "str2_unseen_titles",
+    """SELECT ticker, title, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, feed_pos FROM (
+      SELECT ticker, feed_title AS title, published_at, feed_pos,
+        row_number() OVER (PARTITION BY ticker, feed_title ORDER BY published_at, feed_pos) AS n FROM feed) WHERE n = 1""",
+)
+_sql(
+    "str3_ready_labels",
+    """SELECT feed_pos, news_reaction, skip_reason FROM headlines h JOIN day_labels l ON l.ticker = h.ticker AND l.as_of = h.as_of
+    WHERE h.as_of <= DATE '1998-06-01' - 39""",
 )

@@ -17,7 +17,7 @@ from newsquake.operators.ranking import nearest_rank
 from newsquake.plans import calibrate, convert, evaluate, label, report, rows, select, signals, template, value
 from newsquake.session import settled
 from newsquake.sources import stored
-from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table, window_index
+from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table
 from newsquake.streaming import feed as arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,7 +349,8 @@ def _(t):
 
 @query("join13_pending_entities")
 def _(t):
-    return rows.pending(t.entities, t.prices).select("ticker", "name")
+    """Entities without a headline in one week count as not done."""
+    return rows.pending(t.entities, t.headlines.where("window_idx = 200")).select("ticker", "name")
 
 
 @query("join15_scored_predictions")
@@ -645,9 +646,8 @@ def _(t):
 
 @query("prj7_typed_from_text")
 def _(t):
-    latest = t.prices.groupBy("ticker").agg(F.max("trade_date").alias("as_of"))
-    texts = render.blocks(value.value_days(latest, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors)).select("ticker", "market_data", "valuation")
-    return report.typed_from_text(texts).select("ticker", "price", "pe_trailing", "pe_forward", "sector", "basis", "intrinsic", "verdict", "pct")
+    texts = render.blocks(_values(t)).select("ticker", "as_of", "market_data", "valuation")
+    return report.typed_from_text(texts).select("ticker", _text("as_of"), "price", "pe_trailing", "pe_forward", "sector", "basis", "intrinsic", "verdict", "pct")
 
 
 @query("fn24_market_cap_text")
@@ -684,7 +684,7 @@ def _(t):
 @query("fn29_window_index")
 def _(t):
     end = F.date_sub(_feed_end(), K.POST_PUBLISH_DAYS)
-    index = window_index(F.to_date("published_at"), end, FEED_WEEKS)
+    index = select.window_index(F.to_date("published_at"), end, FEED_WEEKS)
     return t.feed.groupBy(F.coalesce(index, F.lit(0)).cast("long").alias("window_idx")).agg(_count().alias("n"))
 
 
@@ -746,7 +746,8 @@ def _template_frame(t: Tables) -> DataFrame:
     drawn = t.template_draws
     days = drawn.select("ticker", "as_of").distinct()
     valued = value.value_days(days, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors)
-    return skew_safe_join(drawn, template.rendered_days(valued), ["ticker", "as_of"], ["draw_id"], "inner").withColumn(
+    # An entity and day hold few draws, and the texts are too wide to be repeated for salts.
+    return drawn.join(template.rendered_days(valued), ["ticker", "as_of"]).withColumn(
         "move_pct", F.round(draw(F.col("draw_id"), "move") * 6 - 3, 1)
     )
 
@@ -781,9 +782,21 @@ def _(t):
 @query("set1_4_entity_sets")
 def _(t):
     priced = t.prices.select("ticker", F.lit("prices").alias("part")).distinct()
-    heard = t.headlines.select("ticker", F.lit("headlines").alias("part")).distinct()
+    heard = t.headlines.where("window_idx = 200").select("ticker", F.lit("headlines").alias("part")).distinct()
     return priced.unionByName(heard).unionByName(
-        heard.select("ticker").exceptAll(priced.select("ticker")).withColumn("part", F.lit("headlines only"))
+        priced.select("ticker").exceptAll(heard.select("ticker")).withColumn("part", F.lit("prices only"))
     )
 
 
+@query("str2_unseen_titles")
+def _(t):
+    titled = t.feed.select("ticker", F.col("feed_title").alias("title"), "published_at", "feed_pos")
+    return arriving.unseen_titles(titled).select("ticker", "title", _text("published_at"), "feed_pos")
+
+
+@query("str3_ready_labels")
+def _(t):
+    complete = arriving.ready(t.headlines, F.lit("1998-06-01").cast("date"))
+    return label.label_headlines(complete, t.prices, t.earnings).select("feed_pos", "news_reaction", "skip_reason")
+
+

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsquake import constants as K
@@ -19,10 +19,29 @@ from newsquake.operators.ranking import top_k
 ATTEMPT_ORDER = ("order_1", "order_2", "feed_pos")
 
 
+def window_index(day: Column, end: Column, weeks: int = K.LOOKBACK_WEEKS) -> Column:
+    """1-based weekly window of a date, most recent first; null outside the weeks searched and without a date."""
+    index = F.ceil(F.datediff(end, day) / F.lit(7)).cast("int")
+    return F.when((index >= 1) & (index <= weeks), index)
+
+
+def outside_windows(headlines: DataFrame) -> DataFrame:
+    """Headlines without a window, each with the reason: no date, or a date outside the weeks searched."""
+    reason = F.when(F.col("published_at").isNull(), "no_date").otherwise("outside_windows")
+    return headlines.where(F.col("window_idx").isNull()).select(
+        "ticker", "window_idx", "feed_pos", "title", "publisher", "published_at",
+        F.lit("none").alias("path"), reason.alias("skip_reason"),
+        F.lit(0).cast("long").alias("order_1"), F.lit(0).cast("long").alias("order_2"),
+    )
+
+
 def first_seen(headlines: DataFrame) -> DataFrame:
-    """First row per (ticker, title), most recent window first; copies are merged before the shuffle."""
+    """First row per (ticker, title), most recent window first; copies are merged before the shuffle.
+
+    Headlines without a window are not searched, see outside_windows.
+    """
     first = F.min(F.struct("window_idx", "feed_pos", "publisher", "published_at")).alias("f")
-    return headlines.groupBy("ticker", "title").agg(first).select("ticker", "title", "f.*")
+    return headlines.where(F.col("window_idx").isNotNull()).groupBy("ticker", "title").agg(first).select("ticker", "title", "f.*")
 
 
 def entity_patterns(entities: DataFrame, sectors: DataFrame) -> DataFrame:
@@ -79,7 +98,8 @@ def select_headlines(
     """Every considered headline with its path, skip_reason (null when selected) and attempt order.
 
     A window whose pool is fully assessed takes the screen path: pool only, by importance, then
-    recency. Any other window takes the rule path: all of its headlines, in feed order.
+    recency. Any other window takes the rule path: all of its headlines, in feed order. Headlines
+    without a window are listed with their reason.
     """
     unseen = first_seen(headlines)
     pool = screened_pool(unseen, assessments)
@@ -105,7 +125,7 @@ def select_headlines(
         F.lit(0).cast("long").alias("order_1"),
         F.lit(0).cast("long").alias("order_2"),
     )
-    return screen.unionByName(ruled)
+    return screen.unionByName(ruled).unionByName(outside_windows(headlines))
 
 
 def keep_within_caps(

@@ -12,6 +12,7 @@ from newsquake.functions import render
 from newsquake.functions.numeric import draw, draw_index, fill, weighted_choice
 from newsquake.functions.reaction import fuse, text_gap
 from newsquake.operators.lookup import skew_safe_join
+from newsquake.operators.ranking import running_totals
 from newsquake.plans.rows import explode_rows, split_of
 
 
@@ -57,6 +58,16 @@ def draws(keys: DataFrame, key: str, entity_count: Column | int, weights=K.REACT
     )
 
 
+def draws_of(keys: DataFrame, key: str, entities: DataFrame, order: str) -> DataFrame:
+    """Draws over all rows of `entities`, numbered from 0 by `order`, with the fields of the entity drawn."""
+    numbered = running_totals(entities.withColumn("_all", F.lit(1)), ["_all"], order, [])
+    numbered = numbered.withColumn("_no", F.col("running_n").cast("int") - 1).drop("running_n", "_all", order)
+    count = entities.agg(F.count(F.lit(1)).cast("int")).scalar()
+    drawn = draws(keys, key, count)
+    joined = skew_safe_join(drawn.withColumnRenamed("entity_no", "_no"), numbered, ["_no"], [key], "inner")
+    return joined.withColumnRenamed("_no", "entity_no")
+
+
 def fill_fields(template: Column, fields: Sequence[str]) -> Column:
     return fill(template, **{name: F.col(name).cast("string") for name in fields})
 
@@ -111,17 +122,17 @@ def template_rows(
             "held_out": F.col("held_out") & ~F.col("_swapped"),
         }
     )
-    stale = draw(F.col(key), "stale") < K.STALE_HEADLINE_RATE
-    back = F.when(stale, draw_index(K.STALE_DAYS + 1, F.col(key), "age")).otherwise(
-        draw_index(K.RECENT_DAYS + 1, F.col(key), "age")
-    )
-    day = F.date_sub(today, back)
-    publisher = F.element_at(
-        F.array(*[F.lit(p) for p in K.NOISE_PUBLISHERS]), draw_index(len(K.NOISE_PUBLISHERS), F.col(key), "publisher") + 1
-    )
-    lines = F.transform(
-        "_headlines", lambda h: render.headline_line(day, fill_fields(h, fields), publisher)
-    )
+
+    def line(headline: Column, place: Column) -> Column:
+        """Each line of a draw has an age, a date and a publisher of its own."""
+        at = (F.col(key), place)
+        stale = draw(*at, "stale") < K.STALE_HEADLINE_RATE
+        back = F.when(stale, draw_index(K.STALE_DAYS + 1, *at, "age")).otherwise(draw_index(K.RECENT_DAYS + 1, *at, "age"))
+        publishers = F.array(*[F.lit(p) for p in K.NOISE_PUBLISHERS])
+        publisher = F.element_at(publishers, draw_index(len(K.NOISE_PUBLISHERS), *at, "publisher") + 1)
+        return render.headline_line(F.date_sub(today, back), fill_fields(headline, fields), publisher)
+
+    lines = F.transform("_headlines", line)
     kind, question = render.user_query(F.col("ticker"), F.col(key))
     shown = render.price_context(
         render.drop_blocks(chosen, key).withColumn("_fraction", F.col("move_pct") / 100), "_fraction"
@@ -136,9 +147,9 @@ def template_rows(
         F.col("ticker"), F.col("news_reaction"), F.col("valuation_bucket"), F.col("recommendation"),
         F.col("fused_gap_pct"), F.col(key),
     )
-    prose = fused.withColumns(
+    prose = fused.withColumn("_lines", lines).withColumns(
         {
-            "news": render.news_block(lines, F.col(key), today),
+            "news": render.news_block(F.col("_lines"), F.col(key), today),
             "user_query": question,
             "reasoning": F.concat_ws(" ", fill_fields(F.col("_reasoning"), fields), commentary, clause),
             "answer": render.answer(kind, F.col("recommendation"), F.col("ticker")),

@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 from newsquake import constants as K
 from newsquake.functions.text import sector_pattern, split_feed_title
 from newsquake.operators.ranking import running_totals
-from newsquake.plans.template import draws
+from newsquake.plans.select import window_index
+from newsquake.plans.template import draws_of
 
 # The sector each region stands for.
 REGION_SECTORS = ("Energy", "Technology", "Real Estate", "Financial Services", "Industrials")
@@ -43,12 +44,6 @@ def sector_table(spark: SparkSession) -> DataFrame:
     )
 
 
-def window_index(day: Column, end: Column, weeks: int = K.LOOKBACK_WEEKS) -> Column:
-    """1-based weekly window of a date, most recent first; null outside the weeks searched."""
-    index = F.ceil(F.datediff(end, day) / F.lit(7)).cast("int")
-    return F.when((index >= 1) & (index <= weeks), index)
-
-
 def _mapped(key: Column, values: dict[int, Column]) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), v) for k, v in values.items()))[key]
 
@@ -230,14 +225,12 @@ class Tables:
 
     @cached_property
     def headlines(self) -> DataFrame:
-        """(ticker, window_idx, feed_pos, title, publisher, published_at) of the weeks searched."""
+        """(ticker, window_idx, feed_pos, title, publisher, published_at); window_idx is null outside the weeks searched."""
         title, publisher = split_feed_title(F.col("feed_title"))
         end = F.date_sub(F.to_date(F.lit(FEED_END)), K.POST_PUBLISH_DAYS)
         window = window_index(F.to_date("published_at"), end, FEED_WEEKS)
-        return (
-            self.feed.where(F.col("feed_title") != "")
-            .select("ticker", window.alias("window_idx"), "feed_pos", title.alias("title"), publisher.alias("publisher"), "published_at")
-            .where(F.col("window_idx").isNotNull())
+        return self.feed.where(F.col("feed_title") != "").select(
+            "ticker", window.alias("window_idx"), "feed_pos", title.alias("title"), publisher.alias("publisher"), "published_at"
         )
 
     @cached_property
@@ -339,7 +332,6 @@ class Tables:
 
     @cached_property
     def template_draws(self) -> DataFrame:
-        """(draw_id, as_of, news_reaction, entity_no, entity fields): one draw per order."""
+        """(draw_id, as_of, news_reaction, entity_no, entity fields): one draw per order over all entities."""
         keys = self.read("orders").select(F.col("o_orderkey").alias("draw_id"), F.to_date("o_orderdate").alias("as_of"))
-        drawn = draws(keys, "draw_id", 25)
-        return drawn.join(self.entities, F.col("entity_no") == F.col("entity_key")).drop("entity_key")
+        return draws_of(keys, "draw_id", self.entities, "entity_key")

@@ -6,11 +6,11 @@ The batch jobs stay the definition; a stream only decides when a headline is rea
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from newsquake import constants as K
 from newsquake.plans.label import label_headlines
@@ -33,10 +33,20 @@ def weekly_counts(feed: DataFrame, watermark: str = "7 days", start: str = "0 da
 
 
 def unseen_titles(feed: DataFrame, watermark: str = "126 days") -> DataFrame:
-    """First arrival of each (ticker, title) within the watermark; older state is dropped."""
+    """First arrival of each (ticker, title) within the watermark; older state is dropped.
+
+    Of a table, the row with the earliest date, then the least by its other columns; undated rows come last.
+    """
     if feed.isStreaming:
         return feed.withWatermark("published_at", watermark).dropDuplicatesWithinWatermark(["ticker", "title"])
-    return feed.dropDuplicates(["ticker", "title"])
+    rest = [c for c in feed.columns if c not in ("ticker", "title", "published_at")]
+    first = F.min(F.struct(F.col("published_at").isNull().alias("undated"), "published_at", *rest)).alias("f")
+    return feed.groupBy("ticker", "title").agg(first).select(*[c if c in ("ticker", "title") else f"f.{c}" for c in feed.columns])
+
+
+def ready(feed: DataFrame, as_of, buffer_days: int = K.POST_PUBLISH_DAYS) -> DataFrame:
+    """Headlines whose forward window is complete on `as_of`."""
+    return feed.where(F.to_date("published_at") <= F.date_sub(F.lit(as_of), buffer_days))
 
 
 def label_when_complete(
@@ -50,23 +60,31 @@ def label_when_complete(
     """A foreachBatch writer: arrivals wait in one table, finished labels are added to another.
 
     Every batch replaces its own folder (batch=<id>), so a batch run again after a failure leaves
-    the same rows. A headline is labelled when its publish date is buffer_days old and it has no
-    label yet.
+    the same rows. Waiting headlines are partitioned by publish date, and each batch notes the last
+    date it found complete. The next one reads the dates that became complete since then and, of
+    older dates, its own arrivals: history is neither read again nor compared with the labels
+    written. A headline without a date gets its reason at once.
     """
+    noted_path = f"{pending_path}_complete"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{pending_path}/batch={batch_id}")
-        waiting = spark.read.parquet(pending_path).where(F.col("batch") <= batch_id).drop("batch")
-        ready = waiting.where(F.to_date("published_at") <= F.date_sub(F.lit(as_of()), buffer_days))
+        dated = batch.withColumn("published_on", F.to_date("published_at"))
+        dated.write.mode("overwrite").partitionBy("published_on").parquet(f"{pending_path}/batch={batch_id}")
+        until, before = as_of() - timedelta(days=buffer_days), None
         if batch_id > 0:
-            done = spark.read.schema(f"{_key(waiting)}, batch long").parquet(labelled_path).where(F.col("batch") < batch_id)
-            ready = ready.join(done, "feed_pos", "left_anti")
-        labels = label_headlines(ready, prices(), earnings())
+            before = spark.read.parquet(f"{noted_path}/batch={batch_id - 1}").first().until
+            until = max(until, before)
+        day, own = F.col("published_on"), F.col("batch") == batch_id
+        fresh = own if before is None else own | (day > F.lit(before))
+        waiting = spark.read.schema(_with_partitions(batch.schema)).parquet(pending_path).where(F.col("batch") <= batch_id)
+        chosen = waiting.where((fresh & (day <= F.lit(until))) | (own & day.isNull())).select(*batch.columns)
+        labels = label_headlines(chosen, prices(), earnings())
         labels.write.mode("overwrite").parquet(f"{labelled_path}/batch={batch_id}")
+        spark.createDataFrame([(until,)], "until date").coalesce(1).write.mode("overwrite").parquet(f"{noted_path}/batch={batch_id}")
 
     return run
 
 
-def _key(df: DataFrame) -> str:
-    return f"feed_pos {df.schema['feed_pos'].dataType.simpleString()}"
+def _with_partitions(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("batch", LongType()), StructField("published_on", DateType())])

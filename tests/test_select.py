@@ -36,6 +36,14 @@ def test_a_missing_date_comes_last(spark):
     assert [r["title"] for r in done] == ["b", "a", "c"]
 
 
+def test_headlines_without_a_window_keep_their_reason(spark):
+    heads = [("NVO", 1, 0, "a", "x", june(1)), ("NVO", None, 1, "a", "x", None), ("NVO", None, 2, "b", "x", dt.datetime(1990, 1, 1))]
+    entities = spark.createDataFrame([("NVO", "Novo", "Healthcare")], "ticker string, name string, sector string")
+    assessed = spark.createDataFrame([("NVO", 0, True, 3)], ASSESS)
+    done = select_headlines(spark.createDataFrame(heads, HEADS), assessed, entities, sector_table(spark)).collect()
+    assert sorted((r["feed_pos"], r["skip_reason"] or "") for r in done) == [(0, ""), (1, "no_date"), (2, "outside_windows")]
+
+
 def test_one_missing_assessment_sends_the_window_to_the_rules(spark):
     heads = [
         ("ORCL", 1, 0, "Should You Buy Oracle Stock?", "Motley Fool", None),

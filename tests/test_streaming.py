@@ -56,6 +56,8 @@ def test_labels_wait_for_their_forward_window(spark, tmp_path):
     done = spark.read.parquet(out)
     columns = ["feed_pos", "news_reaction", "skip_reason"]
     assert sorted(map(str, done.select(columns).collect())) == sorted(map(str, label_headlines(ready, prices).select(columns).collect()))
+    noted = spark.read.parquet(str(tmp_path / "pending_complete"))
+    assert {r["until"] for r in noted.collect()} == {dt.date(2024, 1, 12)}
     clock["today"] = dt.date(2025, 1, 1)
     write(arrivals(spark).limit(0), 4)
     write(arrivals(spark).limit(0), 4)
