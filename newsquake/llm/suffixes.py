@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsquake.llm.common import Shelf
@@ -36,7 +36,7 @@ LOW = np.uint64((1 << 24) - 1)
 # Odd multipliers that spread the grams over 64 bits.
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-NODE = "id bigint, tag int, place bigint, core bigint, hull bigint"
+NODE = "row bigint, place bigint, core bigint, hull bigint"
 
 
 def anchors(data: bytes, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,11 +104,10 @@ def _batch(columns: list, names: list[str], types: list) -> pa.RecordBatch:
 
 
 def _node_batches(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
-    """rows: one tuple per text of (id, tag, arrays of one length ...)."""
-    sizes = [len(r[2]) for r in rows]
-    ids = np.repeat(np.arange(len(rows)), sizes)
-    columns = [pa.array([r[0] for r in rows], pa.int64()).take(pa.array(ids)), pa.array([r[1] for r in rows], pa.int32()).take(pa.array(ids))]
-    columns += [pa.array(np.concatenate([r[i] for r in rows]) if rows else [], t) for i, t in enumerate(types, 2)]
+    """rows: one tuple per text of (row, arrays of one length ...)."""
+    sizes = [len(r[1]) for r in rows]
+    columns = [pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), sizes))]
+    columns += [pa.array(np.concatenate([r[i] for r in rows]) if rows else [], t) for i, t in enumerate(types, 1)]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
@@ -117,17 +116,17 @@ NODES = 1 << 17
 
 def _first_nodes(threshold: int):
     width = first_width(threshold)
-    names, types = ["id", "tag", "place", "core", "hull"], [pa.int64()] * 3
+    names, types = ["row", "place", "core", "hull"], [pa.int64()] * 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                data = batch.column(2)[i].as_py()
+                data = batch.column(1)[i].as_py()
                 if data is None or len(data) < threshold:
                     continue
                 source, *cuts = cut_ranges(*anchors(data, threshold), width)
-                rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), packed(*cuts), *hashes([data], np.zeros_like(source), 0, *cuts, width, threshold)))
+                rows.append((batch.column(0)[i].as_py(), packed(*cuts), *hashes([data], np.zeros_like(source), 0, *cuts, width, threshold)))
                 held += len(source)
                 if held > NODES:
                     yield _node_batches(rows, names, types)
@@ -138,12 +137,6 @@ def _first_nodes(threshold: int):
     return run
 
 
-def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, tag, data): tag, from the text, tells apart rows that share an id."""
-    tag = F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), tag.alias("tag"), F.col(text_col).cast("binary").alias("data"))
-
-
 def _repeated(nodes: DataFrame, shelf: Shelf) -> DataFrame:
     """The nodes whose core another node has too. The counts are written first, so that Spark may split a hot core in the join."""
     often = shelf.put(nodes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
@@ -155,34 +148,34 @@ def _sorted_out(nodes: DataFrame, shelf: Shelf) -> DataFrame:
 
     A node without a twin goes deeper if other hulls share its core; so does one of each set of twins, as a partner.
     """
-    twins = shelf.put(nodes.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tag", "place")).alias("one")))
+    twins = shelf.put(nodes.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("one")))
     cores = shelf.put(twins.groupBy("core").agg(F.count(F.lit(1)).alias("hulls"), F.count_if(F.col("n") == 1).alias("single")).where("hulls > 1 and single > 0").select("core", F.lit(True).alias("mixed")))
     judged = shelf.put(twins.join(cores, "core", "left"))
     shelf.drop(twins)
     told = nodes.join(judged, ["core", "hull"])
-    deeper = F.coalesce("mixed", F.lit(False)) & F.col("one").eqNullSafe(F.struct("id", "tag", "place"))
+    deeper = F.coalesce("mixed", F.lit(False)) & (F.col("one") == F.struct("row", "place"))
     return told.select(*nodes.columns, (F.col("n") > 1).alias("settled"), deeper.alias("deeper"))
 
 
 def _edges(threshold: int):
-    """Bytes of all windows of the nodes that a text holds; reads (id, tag, data, places)."""
-    names = ["id", "tag", "place", "base", "data"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    """Bytes of all windows of the nodes that a text holds; reads (row, data, places)."""
+    names = ["row", "place", "base", "data"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], []]
             for i in range(batch.num_rows):
-                data = batch.column(2)[i].as_py()
-                places = batch.column(3)[i].values.to_numpy()
+                data = batch.column(1)[i].as_py()
+                places = batch.column(2)[i].values.to_numpy()
                 anchor, low, high = unpacked(places)
-                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                row = batch.column(0)[i].as_py()
                 for place, a, b in zip(places.tolist(), (anchor - high).tolist(), (anchor - low + threshold).tolist()):
-                    for column, value in zip(columns, (*key, place, a, data[a:b])):
+                    for column, value in zip(columns, (row, place, a, data[a:b])):
                         column.append(value)
                 if len(columns[0]) > NODES // 8:
                     yield _batch(columns, names, types)
-                    columns = [[], [], [], [], []]
+                    columns = [[], [], [], []]
             if columns[0]:
                 yield _batch(columns, names, types)
 
@@ -190,8 +183,8 @@ def _edges(threshold: int):
 
 
 def _deeper_nodes(threshold: int, width: int):
-    """The nodes of the next pass; reads (id, tag, place, base, data), outer is the place they come from."""
-    names = ["id", "tag", "outer", "place", "core", "hull"]
+    """The nodes of the next pass; reads (row, place, base, data), outer is the place they come from."""
+    names = ["row", "outer", "place", "core", "hull"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,58 +194,48 @@ def _deeper_nodes(threshold: int, width: int):
                 source, anchor, low, high = cut_ranges(*unpacked(places), width)
                 digits = hashes(part.column("data").to_pylist(), source, part.column("base").to_numpy()[source], anchor, low, high, width, threshold)
                 index = pa.array(source)
-                columns = [part.column("id").take(index), part.column("tag").take(index), pa.array(places[source]), pa.array(packed(anchor, low, high)), *map(pa.array, digits)]
+                columns = [part.column("row").take(index), pa.array(places[source]), pa.array(packed(anchor, low, high)), *map(pa.array, digits)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _same(left: str, right: str, *names: str) -> Column:
-    """Null-safe equality of columns in two aliased frames."""
-    test = F.lit(True)
-    for name in names:
-        test = test & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return test
-
-
-def repeated_windows(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tag, places): for each row of rows_of with repeated windows, the packed runs of them.
+def repeated_windows(texts: DataFrame, shelf: Shelf, threshold: int = 200) -> DataFrame:
+    """(row, places): for each row of texts with repeated windows, the packed runs of them.
 
+    texts: (row, data), read more than once, so stored; row is a bigint that no two texts share.
     A run (anchor, low, high) stands for the windows that start at anchor - high to anchor - low.
     """
     if not GRAM <= threshold < 4096:
         raise ValueError("threshold must lie between 8 and 4095 bytes")
     width = first_width(threshold)
-    first = shelf.put(rows_of(docs, id_col, text_col).mapInArrow(_first_nodes(threshold), NODE))
+    first = shelf.put(texts.mapInArrow(_first_nodes(threshold), NODE))
     nodes = shelf.put(_repeated(first, shelf))
     shelf.drop(first)
     told = shelf.put(_sorted_out(nodes, shelf))
     shelf.drop(nodes)
-    settled = [told.where("settled").select("id", "tag", "place")]
-    wanted = told.where("deeper").groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
-    texts = rows_of(docs, id_col, text_col)
-    held = texts.alias("t").join(wanted.alias("w"), _same("t", "w", "id", "tag")).select("t.*", "w.places")
-    edges = shelf.put(held.mapInArrow(_edges(threshold), "id bigint, tag int, place bigint, base bigint, data binary"))
+    settled = [told.where("settled").select("row", "place")]
+    wanted = told.where("deeper").groupBy("row").agg(F.collect_list("place").alias("places"))
+    held = texts.join(wanted, "row").select("row", "data", "places")
+    edges = shelf.put(held.mapInArrow(_edges(threshold), "row bigint, place bigint, base bigint, data binary"))
     while width > 1:
         width = max(1, width // 8)
-        split = shelf.put(edges.mapInArrow(_deeper_nodes(threshold, width), "id bigint, tag int, outer bigint, place bigint, core bigint, hull bigint"))
+        split = shelf.put(edges.mapInArrow(_deeper_nodes(threshold, width), "row bigint, outer bigint, place bigint, core bigint, hull bigint"))
         nodes = shelf.put(_repeated(split, shelf))
         shelf.drop(split)
         told = shelf.put(_sorted_out(nodes, shelf))
         shelf.drop(nodes)
-        settled.append(told.where("settled").select("id", "tag", "place"))
+        settled.append(told.where("settled").select("row", "place"))
         if width > 1:
-            inner = told.where("deeper").select("id", "tag", "outer", "place")
+            inner = told.where("deeper").select("row", "outer", "place")
             outer = edges.withColumnRenamed("place", "outer")
-            joined = inner.alias("i").join(outer.alias("o"), _same("i", "o", "id", "tag", "outer"))
-            after = shelf.put(joined.select("i.id", "i.tag", "i.place", "o.base", "o.data"))
+            after = shelf.put(inner.join(outer, ["row", "outer"]).select("row", "place", "base", "data"))
             shelf.drop(edges)
             edges = after
     runs = settled[0]
     for more in settled[1:]:
         runs = runs.union(more)
-    found = shelf.put(runs.groupBy("id", "tag").agg(F.collect_list("place").alias("places")))
-    shelf.keep_only(found)
+    found = shelf.put(runs.groupBy("row").agg(F.collect_list("place").alias("places")))
     return found
 
 
@@ -265,17 +248,19 @@ def merged(places: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     return list(zip(starts[fresh].tolist(), ends[np.concatenate((fresh[1:], [True]))].tolist()))
 
 
-def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text", into: str = "cut", as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_col: str = "text", into: str = "cut", as_text: bool = False) -> DataFrame:
     """`docs` with a struct column `into`: kept (binary, the bytes that remain), n_bytes, n_removed, n_spans.
 
     Every byte under a repeated window of `threshold` bytes goes, all copies alike; windows are judged on the
     whole input, in and across documents, and never cross documents. Null texts are empty; texts shorter than
-    the threshold stay whole. Rows that repeat id and text are documents of their own, so each loses everything
-    from the threshold on. Rows that share an id but not the text are told apart by 16 bits of a text hash.
-    Null ids are allowed. An empty table gives an empty result. Other columns of `docs` pass through. With
+    the threshold stay whole. Rows that repeat are documents of their own, so each loses everything from the
+    threshold on. Rows are told apart by a number given here; ids are not read. An empty table gives an empty result. Other columns of `docs` pass through. With
     `as_text`, kept is a string, without the pieces of characters that were cut in two.
     """
-    found = repeated_windows(docs, shelf, threshold, id_col, text_col)
+    stored = shelf.put(docs.withColumn("_row", F.monotonically_increasing_id()))
+    data = F.col(text_col).cast("binary")
+    found = repeated_windows(stored.select(F.col("_row").alias("row"), data.alias("data")), shelf, threshold)
+    shelf.keep_only(stored, found)
 
     @F.pandas_udf(f"kept {'string' if as_text else 'binary'}, n_bytes bigint, n_removed bigint, n_spans bigint")
     def cut(texts, runs):
@@ -294,17 +279,15 @@ def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col:
             rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(data), len(data) - len(kept), len(spans)))
         return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans"])
 
-    keyed = docs.select(*docs.columns, F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("_tag"))
-    found = found.select(F.col("id").alias("f_id"), F.col("tag").alias("f_tag"), "places")
-    joined = keyed.join(found, F.col("_id").eqNullSafe(F.col("f_id")) & (F.col("_tag") == F.col("f_tag")), "left")
-    return joined.select(*docs.columns, cut(F.col(text_col).cast("binary"), "places").alias(into))
+    joined = stored.join(found.withColumnRenamed("row", "_row"), "_row", "left")
+    return joined.select(*docs.columns, cut(data, "places").alias(into))
 
 
-def without_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_col: str = "text") -> DataFrame:
     """`docs` with the repeated bytes removed from the text; a character cut in two goes whole.
 
     Null texts stay null; a text that is repeated throughout becomes empty. Nothing else changes.
     """
-    cut = remove_repeats(docs, shelf, threshold, id_col, text_col, into="_cut", as_text=True)
+    cut = remove_repeats(docs, shelf, threshold, text_col, into="_cut", as_text=True)
     text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col(text_col)).alias(text_col)
     return cut.select(*[text if c == text_col else F.col(c) for c in docs.columns])
