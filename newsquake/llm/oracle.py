@@ -83,6 +83,13 @@ select h.page_id, host, path, rule,
 from h left join best using (page_id)
 """
 
+ORACLE["op11_exact_dedup"] = r"""
+with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') body, row_number() over (order by doc_id nulls last) r from documents)
+select doc_id, first_value(doc_id) over (partition by body order by r) keep_id, count(*) over (partition by body) group_size,
+  r = min(r) over (partition by body) kept, sha256(body) text_sha256
+from d
+"""
+
 # The columns of op1 and op6 that their methods do not decide; tests compare them, the rest has brute-force tests.
 BASE: dict[str, str] = {}
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsquake.llm.automaton import find_items
 from newsquake.llm.chat import format_chats
 from newsquake.llm.common import Shelf, table
+from newsquake.llm.exact import find_copies
 from newsquake.llm.languages import identify
 from newsquake.llm.licenses import scan_licenses
 from newsquake.llm.lines import judge_lines, train_field
@@ -131,3 +132,10 @@ def op7_language_id(spark: SparkSession, directory: str) -> DataFrame:
         language["lang"].alias("lang"),
         F.round(language["probability"], 6).alias("probability"),
     )
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = find_copies(docs, Shelf(spark, "exact"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
