@@ -19,6 +19,7 @@ from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
 from newsquake.llm.toxicity import score, train
 from newsquake.llm.urls import host_and_path, judge
+from newsquake.llm.variants import group_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -139,3 +140,9 @@ def op11_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     found = find_copies(docs, Shelf(spark, "exact"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    return group_variants(docs, Shelf(spark, "variants")).select("word", "form", "root", "n", "n_near", "form_n")
