@@ -90,6 +90,30 @@ select doc_id, first_value(doc_id) over (partition by body order by r) keep_id,
 from d
 """
 
+ORACLE["op13_conversation_trie"] = r"""
+with t as (
+  select conv_id c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} order by turn nulls first) l from conversations group by 1
+), heads as (
+  select c, l, cast(xor(list_reduce(list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+    lambda a, b: list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(a, b)), cast(4294967295 as bigint)), cast(4294967295 as bigint)) % 4 as bigint) h
+  from t
+), rebuilt as (
+  select a.c, list_concat(coalesce(b.l[1 : a.h], []), a.l[a.h + 1 :]) l from heads a left join t b on b.c = a.c - a.c % 20
+), paths as (select c, len(l) n, l[1 : d] k, d from (select c, l, unnest(range(0, len(l) + 1)) d from rebuilt)),
+node as (
+  select k, d, min(c) conv_id, count(*) n_convs, sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (n = d), '')) ends_sha256,
+    case when d > 0 then (count(*) - 1) * len(regexp_extract_all(k[d].x, '[^\x20\x09-\x0D]+')) else 0 end saved
+  from paths group by k, d
+), kids as (select k[1 : d - 1] k, d - 1 d, count(*) n_children from node where d > 0 group by 1, 2),
+full_ as (select node.*, coalesce(n_children, 0) n_children from node left join kids using (k, d)),
+under as (
+  select k[1 : a] k, a d, sum(saved) saved_tokens, count(*) filter (n_children = 0) n_leaves
+  from (select k, d, saved, n_children, unnest(range(0, d + 1)) a from full_) group by 1, 2
+)
+select f.conv_id, f.d depth, p.conv_id parent_conv_id, f.n_convs, f.n_children, u.n_leaves, cast(u.saved_tokens as bigint) saved_tokens, f.ends_sha256
+from full_ f join under u using (k, d) left join node p on p.k = f.k[1 : f.d - 1] and p.d = f.d - 1
+"""
+
 # The columns of op1 and op6 that their methods do not decide; tests compare them, the rest has brute-force tests.
 BASE: dict[str, str] = {}
 

@@ -18,6 +18,7 @@ from newsquake.llm.mixing import mix
 from newsquake.llm.simhash import simhash_components
 from newsquake.llm.suffixes import remove_repeats
 from newsquake.llm.toxicity import score, train
+from newsquake.llm.trie import prefix_trie
 from newsquake.llm.urls import host_and_path, judge
 from newsquake.llm.variants import group_variants
 
@@ -146,3 +147,10 @@ def op11_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     return group_variants(docs, Shelf(spark, "variants")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, directory: str) -> DataFrame:
+    rows = table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = prefix_trie(rows, Shelf(spark, "trie"))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
