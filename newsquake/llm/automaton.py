@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsquake.llm.common import Shelf
+from newsquake.llm.common import Shelf, free
 
 BLOCK_CHARS = 1_000_000  # of item text in one automaton: some 150,000 words, about 100 MB in a Python worker
 
@@ -216,7 +216,8 @@ def without_items(docs: DataFrame, items: DataFrame, shelf: Shelf, window: int =
     cut stays. A document with over `most` of its words inside windows goes as a whole. Documents without a hit
     are unchanged, null and empty texts included.
     """
-    seen = find_items(docs, items, shelf, window, text_col, into="_seen", cut=True, **settings)
-    stay = seen.where(F.col("_seen.n_hit") <= F.lit(most) * F.col("_seen.n_words"))
-    text = F.when(F.col("_seen.n_hit") > 0, F.col("_seen.rest")).otherwise(F.col(text_col)).alias(text_col)
+    name = free("_seen", docs)
+    seen = find_items(docs, items, shelf, window, text_col, into=name, cut=True, **settings)
+    stay = seen.where(F.col(f"{name}.n_hit") <= F.lit(most) * F.col(f"{name}.n_words"))
+    text = F.when(F.col(f"{name}.n_hit") > 0, F.col(f"{name}.rest")).otherwise(F.col(text_col)).alias(text_col)
     return stay.select(*[text if c == text_col else F.col(c) for c in docs.columns])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ class Shelf:
     `drop` deletes a table that later ones have replaced.
     """
 
+    watched: list[list[Shelf]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -48,6 +52,8 @@ class Shelf:
         self.count = 0
         self.paths: dict[int, str] = {}
         self.frames: list[DataFrame] = []
+        for opened in Shelf.watched:
+            opened.append(self)
 
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -68,6 +74,27 @@ class Shelf:
         self.drop(*[f for f in self.frames if all(f is not kept for kept in frames)])
 
 
+@contextmanager
+def clearing() -> Iterator[None]:
+    """Deletes at its end all tables of the shelves opened inside; what is needed of them must be written by then."""
+    opened: list[Shelf] = []
+    Shelf.watched.append(opened)
+    try:
+        yield
+        for shelf in opened:
+            shelf.keep_only()
+    finally:
+        Shelf.watched = [other for other in Shelf.watched if other is not opened]
+
+
+def free(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores added while a column of the frames has it in any case of letters."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

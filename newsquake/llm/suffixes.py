@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsquake.llm.common import Shelf
+from newsquake.llm.common import Shelf, free
 
 GRAM = 8
 CHUNK = 1 << 22
@@ -254,12 +254,14 @@ def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_col
     Every byte under a repeated window of `threshold` bytes goes, all copies alike; windows are judged on the
     whole input, in and across documents, and never cross documents. Null texts are empty; texts shorter than
     the threshold stay whole. Rows that repeat are documents of their own, so each loses everything from the
-    threshold on. Rows are told apart by a number given here; ids are not read. An empty table gives an empty result. Other columns of `docs` pass through. With
-    `as_text`, kept is a string, without the pieces of characters that were cut in two.
+    threshold on. Rows are told apart by a number given here; ids are not read. An empty table gives an empty result.
+    Other columns of `docs` pass through, whatever their names but `into`. With `as_text`, kept is a string, without
+    the pieces of characters that were cut in two.
     """
-    stored = shelf.put(docs.withColumn("_row", F.monotonically_increasing_id()))
+    number, places = free("_row", docs), free("_places", docs)
+    stored = shelf.put(docs.withColumn(number, F.monotonically_increasing_id()))
     data = F.col(text_col).cast("binary")
-    found = repeated_windows(stored.select(F.col("_row").alias("row"), data.alias("data")), shelf, threshold)
+    found = repeated_windows(stored.select(F.col(number).alias("row"), data.alias("data")), shelf, threshold)
     shelf.keep_only(stored, found)
 
     @F.pandas_udf(f"kept {'string' if as_text else 'binary'}, n_bytes bigint, n_removed bigint, n_spans bigint")
@@ -279,8 +281,8 @@ def remove_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_col
             rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(data), len(data) - len(kept), len(spans)))
         return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans"])
 
-    joined = stored.join(found.withColumnRenamed("row", "_row"), "_row", "left")
-    return joined.select(*docs.columns, cut(data, "places").alias(into))
+    joined = stored.join(found.select(F.col("row").alias(number), F.col("places").alias(places)), number, "left")
+    return joined.select(*docs.columns, cut(data, places).alias(into))
 
 
 def without_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_col: str = "text") -> DataFrame:
@@ -288,6 +290,7 @@ def without_repeats(docs: DataFrame, shelf: Shelf, threshold: int = 200, text_co
 
     Null texts stay null; a text that is repeated throughout becomes empty. Nothing else changes.
     """
-    cut = remove_repeats(docs, shelf, threshold, text_col, into="_cut", as_text=True)
-    text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col(text_col)).alias(text_col)
+    name = free("_cut", docs)
+    cut = remove_repeats(docs, shelf, threshold, text_col, into=name, as_text=True)
+    text = F.when(F.col(f"{name}.n_removed") > 0, F.col(f"{name}.kept")).otherwise(F.col(text_col)).alias(text_col)
     return cut.select(*[text if c == text_col else F.col(c) for c in docs.columns])

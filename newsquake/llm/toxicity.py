@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsquake.llm.automaton import words_of
-from newsquake.llm.common import LETTER_WORD, Shelf, lower_ascii
+from newsquake.llm.common import LETTER_WORD, Shelf, free, lower_ascii
 
 # Words of the two finer categories, whose labels in the sample they give.
 INSULTS = ("clown", "idiot", "loser", "moron", "scum")
@@ -166,4 +166,5 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", into: str = "sc
 def without_toxic(docs: DataFrame, labels: DataFrame, shelf: Shelf, text_col: str = "text", **settings) -> DataFrame:
     """The rows of `docs` whose text is not toxic, unchanged."""
     chain = train(docs, labels, shelf, text_col=text_col, **settings)
-    return score(docs, chain, text_col, into="_scores").where("not _scores.toxic").select(*docs.columns)
+    name = free("_scores", docs)
+    return score(docs, chain, text_col, into=name).where(~F.col(f"{name}.toxic")).select(*docs.columns)

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from newsquake.llm import automaton, chat, licenses, lines, mixing, simhash, suffixes, toxicity, urls
+from newsquake.llm import automaton, chat, licenses, lines, mixing, overlap, simhash, suffixes, toxicity, urls
 from newsquake.llm.common import Shelf
 from newsquake.llm.languages import identify
 from newsquake.llm.oracle import BASE, ORACLE
@@ -128,11 +128,11 @@ def test_majority_counts_over_half():
 
 
 def test_one_of_each_keeps_one_copy(docs, nothing, shelf):
-    out = simhash.one_of_each(docs, shelf)
+    out = overlap.one_of_each(docs, shelf)
     ids = sorted(str(r.doc_id) for r in out.collect())
     # 2 and 3 copy 1, 10 copies 9, one row of 14 goes; 6, 7 and 8 have no words.
     assert ids == sorted(map(str, [1, 4, 5, 6, 9, 11, 12, 12, 13, 14, None, 16])) and out.columns == docs.columns
-    assert simhash.one_of_each(nothing, shelf).count() == 0
+    assert overlap.one_of_each(nothing, shelf).count() == 0
 
 
 def test_automaton_finds_windows(spark, docs, nothing, shelf):
