@@ -31,6 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Shuffle files of a write go when it ends, not when the driver happens to collect its garbage.
+TIDY_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Python workers take texts in small batches: a few thousand long ones at once would not fit beside the executor's heap.
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
@@ -39,13 +41,15 @@ class Shelf:
     """Intermediate tables of one run of an operator, written where every executor can read them.
 
     `put` writes a frame and reads it back, which cuts its lineage and survives lost executors;
-    `drop` deletes a table that later ones have replaced.
+    `drop` deletes a table that later ones have replaced. With `tidy`, what a write has shuffled is deleted when the
+    write ends.
     """
 
     watched: list[list[Shelf]] = []
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
         self.spark = spark
+        self.tidy = tidy
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         for key, value in ARROW_CONF.items():
             spark.conf.set(key, value)
@@ -58,7 +62,12 @@ class Shelf:
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/t{self.count}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(TIDY_CONF)
+        self.spark.conf.set(TIDY_CONF, "true" if self.tidy else before)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(TIDY_CONF, before)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = path
         self.frames.append(kept)  # an id stays one frame's as long as the frame lives
