@@ -448,6 +448,19 @@ _sql(
     f"""SELECT ticker, {_r('CASE WHEN ya <> 0 THEN 0.05::DOUBLE END')} AS growth_0y, {_r('CASE WHEN ya <> 0 THEN 0.06::DOUBLE END')} AS growth_1y,
     {_r('(lo - nullif(ya, 0)) / abs(nullif(ya, 0))')} AS growth_0y_low, {_r('(hi - nullif(ya, 0)) / abs(nullif(ya, 0))')} AS growth_0y_high FROM {_EST}""",
 )
+_sql(
+    "src1_rows_and_rejects",
+    """SELECT doc_id, CASE doc_id % 7 WHEN 2 THEN 'broken_json' WHEN 3 THEN 'missing ticker' WHEN 4 THEN 'broken_json' WHEN 5 THEN 'no_object' ELSE 'row' END AS outcome,
+      CASE WHEN doc_id % 7 NOT IN (2, 3, 4, 5) THEN source END AS ticker, CASE WHEN doc_id % 7 NOT IN (2, 3, 4, 5) THEN length(coalesce(text, '')) END AS news_chars,
+      CASE WHEN doc_id % 7 NOT IN (2, 3, 4, 5) THEN md5(coalesce(text, '')) END AS news_digest FROM documents""",
+    prelude=False,
+)
+_sql(
+    "src2_4_set1_tagged_files",
+    """SELECT tag, doc_id, length(coalesce(text, '')) AS news_chars FROM documents, (VALUES ('all'), ('english'), ('other')) v(tag)
+    WHERE lang IS NOT NULL AND (tag = 'all' OR (tag = 'english') = (lang = 'en'))""",
+    prelude=False,
+)
 _sql(
     "src9_cell_after_label",
     r"""WITH c AS (SELECT page_id, [trim(regexp_replace(x, '<[^>]*>', '', 'g')) FOR x IN regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1)] AS cells FROM pages)
@@ -592,7 +605,10 @@ _sql(
     "join10_33_answers",
     f"SELECT feed_pos, {_KIND} AS kind, {_QUESTION} AS question, {_answer(_KIND, _CALL3.format('feed_pos'))} AS answer FROM headlines",
 )
-_sql("join13_pending_entities", "SELECT ticker, name FROM ent WHERE ticker NOT IN (SELECT ticker FROM headlines WHERE window_idx = 200)")
+_sql(
+    "join13_pending_entities",
+    "SELECT w AS window_idx, ticker, name FROM ent, range(1, 401) r(w) WHERE NOT EXISTS (SELECT 1 FROM headlines h WHERE h.window_idx = w AND h.ticker = ent.ticker)",
+)
 _sql("join15_scored_predictions", "SELECT row_id, model, task, expected, predicted, correct, json_ok, nonempty FROM marked")
 _sql("join17_weekly_windows", "SELECT ticker, window_idx::BIGINT AS window_idx, after::VARCHAR AS after, before::VARCHAR AS before FROM weeks")
 _sql(
@@ -833,6 +849,17 @@ _sql(
     UNION ALL SELECT feed_pos, split, 'analysis', ticker, {_QUESTION}, {_CONTEXT}, {_VALUATION}, news_reaction, recommendation, valuation_bucket,
       {_REASONING}, {_answer(_KIND, 'recommendation')} FROM done""",
 )
+ORACLE["job_rows_resumed"] = f"SELECT * EXCLUDE (feed_pos) FROM ({ORACLE['finished_rows']})"
+_sql(
+    "fn35_generated_texts",
+    _FINISHED + f""", said AS (SELECT d.feed_pos, 'REASONING: ' || coalesce(a.text, '') || CASE WHEN d.feed_pos % 3 = 0 THEN '' ELSE chr(10) || 'ANSWER: ' || coalesce(b.text, '') END AS t
+      FROM done d JOIN conversations a ON a.conv_id = d.feed_pos % 100 AND a.turn = 0 LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = 1),
+    p AS (SELECT feed_pos, regexp_replace(regexp_extract(t, '(?is)REASONING:\\s*(.*?)(?:\\n\\s*ANSWER:|$)', 1), '^\\s+|\\s+$', '', 'g') AS r,
+      regexp_replace(regexp_extract(t, '(?is)ANSWER:\\s*(.*)', 1), '^\\s+|\\s+$', '', 'g') AS a FROM said),
+    j AS (SELECT feed_pos, r, nullif(a, '') AS a FROM p WHERE r <> '' AND length(r) <= 800 AND length(a) <= 400
+      AND NOT regexp_matches(r, {_SUSPECT}) AND NOT regexp_matches(a, {_SUSPECT}))
+    SELECT feed_pos, coalesce(r, {_REASONING}) AS reasoning, coalesce(a, {_answer(_KIND, 'recommendation')}) AS answer FROM done LEFT JOIN j USING (feed_pos)""",
+)
 _sql(
     "agg17_split_summary",
     _FINISHED + """SELECT 2 * count(*) AS total, 2 * count(*) FILTER (split = 'train') AS train, 2 * count(*) FILTER (split = 'val') AS val,
@@ -940,8 +967,11 @@ _sql(
 )
 _sql(
     "set1_4_entity_sets",
-    """SELECT DISTINCT ticker, 'prices' AS part FROM prices UNION ALL SELECT DISTINCT ticker, 'headlines' FROM headlines WHERE window_idx = 200
-    UNION ALL SELECT DISTINCT ticker, 'prices only' FROM prices WHERE ticker NOT IN (SELECT ticker FROM headlines WHERE window_idx = 200)""",
+    """, p AS (SELECT DISTINCT ticker, ceil(datediff('day', trade_date, DATE '2001-12-31' - 39) / 7.0)::BIGINT AS window_idx FROM prices),
+    priced AS (SELECT * FROM p WHERE window_idx BETWEEN 1 AND 400),
+    heard AS (SELECT DISTINCT ticker, window_idx::BIGINT AS window_idx FROM headlines WHERE window_idx BETWEEN 1 AND 400)
+    SELECT ticker, window_idx, 'prices' AS part FROM priced UNION ALL SELECT ticker, window_idx, 'headlines' FROM heard
+    UNION ALL SELECT ticker, window_idx, 'prices only' FROM (SELECT * FROM priced EXCEPT SELECT * FROM heard)""",
 )
 _sql(
     "str2_unseen_titles",

@@ -14,9 +14,10 @@ from newsquake.functions.reaction import retraced, text_gap, valuation_bucket
 from newsquake.operators.asof import AsOf, asof_lookup, distinct_days
 from newsquake.operators.lookup import skew_safe_join
 from newsquake.operators.ranking import nearest_rank
-from newsquake.plans import calibrate, convert, evaluate, label, report, rows, select, signals, template, value
-from newsquake.session import settled
+from newsquake.plans import calibrate, convert, evaluate, jobs, label, report, rows, select, signals, template, value
+from newsquake.session import settled, work_folder
 from newsquake.sources import stored
+from newsquake.sources.store import RowStore
 from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table
 from newsquake.streaming import feed as arriving
 
@@ -88,6 +89,49 @@ def _labels(t: Tables) -> DataFrame:
 # --- sources ---------------------------------------------------------------
 
 
+def _written(lines: DataFrame, name: str) -> str:
+    path = work_folder(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+def _document_rows(t: Tables) -> DataFrame:
+    """(doc_id, lang, line): a stored row in JSON for every document, its text as the news."""
+    row = F.struct(F.col("doc_id").cast("string").alias("user_query"), F.col("source").alias("ticker"), F.col("text").alias("news"))
+    return t.read("documents").select("doc_id", "lang", F.to_json(row).alias("line"))
+
+
+@query("src1_rows_and_rejects")
+def _(t):
+    """Documents as lines of stored files, four of seven damaged in some way, read back line by line."""
+    line, kind = F.col("line"), F.col("doc_id") % 7
+    damaged = (
+        F.when(kind == 1, F.concat(F.lit("\n \n"), line))
+        .when(kind == 2, F.expr("left(line, length(line) - 1)"))
+        .when(kind == 3, F.concat(F.lit('{"user_query":"'), F.col("doc_id").cast("string"), F.lit('"}')))
+        .when(kind == 4, F.concat(line, F.lit(" # note")))
+        .when(kind == 5, F.concat(F.lit("["), line, F.lit("]")))
+        .otherwise(line)
+    )
+    lines = stored.read_lines(t.spark, _written(_document_rows(t).select(damaged), "src1"))
+    told = F.regexp_extract("line", r'"user_query":"(\d+)"', 1).cast("bigint")
+    return lines.select(
+        told.alias("doc_id"), F.coalesce("reject_reason", F.lit("row")).alias("outcome"), F.col("row.ticker").alias("ticker"),
+        F.char_length("row.news").cast("long").alias("news_chars"), F.md5("row.news").alias("news_digest"),
+    )
+
+
+@query("src2_4_set1_tagged_files")
+def _(t):
+    """Stored files of two kinds under their tags, beside one that is not there."""
+    rows_ = _document_rows(t)
+    english = _written(rows_.where("lang = 'en'").select("line"), "src2")
+    other = _written(rows_.where("lang <> 'en'").select("line"), "src2")
+    both = stored.read_split(t.spark, [english], [other, f"{other}-none"]).select(F.lit("all").alias("tag"), "user_query", "news")
+    tagged = stored.read_tagged(t.spark, {"english": english, "other": other}, "tag").select("tag", "user_query", "news")
+    return both.unionByName(tagged).select("tag", F.col("user_query").cast("bigint").alias("doc_id"), F.char_length("news").cast("long").alias("news_chars"))
+
+
 @query("src5_headline_feed")
 def _(t):
     window = stored.window_feed(t.feed, F.to_timestamp(F.lit("1995-01-01")), F.to_timestamp(F.lit("2001-11-22")))
@@ -349,8 +393,10 @@ def _(t):
 
 @query("join13_pending_entities")
 def _(t):
-    """Entities without a headline in one week count as not done."""
-    return rows.pending(t.entities, t.headlines.where("window_idx = 200")).select("ticker", "name")
+    """In each week, the entities without a headline are not done."""
+    weeks = t.headlines.where("window_idx is not null").select("window_idx", "ticker").distinct()
+    pairs = t.entities.select("ticker", "name", F.explode(F.sequence(F.lit(1), F.lit(FEED_WEEKS))).alias("window_idx"))
+    return rows.pending(pairs, weeks, ["window_idx", "ticker"]).select(F.col("window_idx").cast("long").alias("window_idx"), "ticker", "name")
 
 
 @query("join15_scored_predictions")
@@ -609,8 +655,11 @@ def _(t):
 # --- rows, templates, reports -----------------------------------------------------------
 
 
+HELD_OUT = ["NATION_3", "NATION_7"]
+
+
 def _finished(t: Tables) -> DataFrame:
-    return rows.finished_rows(_kept(t), F.lit("2002-01-01").cast("date"), holdout=["NATION_3", "NATION_7"])
+    return rows.finished_rows(_kept(t), F.lit("2002-01-01").cast("date"), HELD_OUT)
 
 
 @query("finished_rows")
@@ -622,6 +671,32 @@ def _(t):
     )
 
 
+@query("fn35_generated_texts")
+def _(t):
+    """Prose of analysis rows where conversations stand for generated texts, some of them unusable or without answer."""
+    turns = t.read("conversations")
+    first = turns.where("turn = 0").select(F.col("conv_id").alias("c"), F.coalesce("text", F.lit("")).alias("a"))
+    second = turns.where("turn = 1").select(F.col("conv_id").alias("c"), F.col("text").alias("b"))
+    answer = F.when(F.col("feed_pos") % 3 == 0, "").otherwise(F.concat(F.lit("\nANSWER: "), F.coalesce("b", F.lit(""))))
+    texts = first.join(second, "c", "left")
+    said = t.headlines.join(texts, F.col("feed_pos") % 100 == F.col("c")).select("feed_pos", F.concat(F.lit("REASONING: "), F.col("a"), answer).alias("text"))
+    done = rows.finished_rows(_kept(t), F.lit("2002-01-01").cast("date"), HELD_OUT, said).where("task = 'analysis'")
+    return done.select("feed_pos", F.get_json_object("output", "$.reasoning").alias("reasoning"), F.get_json_object("output", "$.answer").alias("answer"))
+
+
+@query("job_rows_resumed")
+def _(t):
+    """All rows as a store holds them after a run over half of the entities and another one that goes on."""
+    store, today = RowStore(t.spark, work_folder(t.spark, "rows")), F.lit("2002-01-01").cast("date")
+    half = t.entities.where(jobs.group_of(F.col("ticker"), 2) == 0)
+    jobs.generate_rows(jobs.Chosen(t, half), store, today, HELD_OUT, groups=1)
+    jobs.generate_rows(t, store, today, HELD_OUT, groups=1)
+    return store.rows().select(
+        "split", "task", "ticker", "user_query", "price_context", "valuation", "news_reaction", "recommendation", "valuation_bucket",
+        F.get_json_object("output", "$.reasoning").alias("reasoning"), F.get_json_object("output", "$.answer").alias("answer"),
+    )
+
+
 @query("agg17_split_summary")
 def _(t):
     return report.split_summary(_finished(t))
@@ -781,11 +856,14 @@ def _(t):
 
 @query("set1_4_entity_sets")
 def _(t):
-    priced = t.prices.select("ticker", F.lit("prices").alias("part")).distinct()
-    heard = t.headlines.where("window_idx = 200").select("ticker", F.lit("headlines").alias("part")).distinct()
-    return priced.unionByName(heard).unionByName(
-        priced.select("ticker").exceptAll(heard.select("ticker")).withColumn("part", F.lit("prices only"))
-    )
+    """In each week, entities with prices, with headlines, and with prices only."""
+    end = F.date_sub(_feed_end(), K.POST_PUBLISH_DAYS)
+    week = select.window_index(F.col("trade_date"), end, FEED_WEEKS).alias("window_idx")
+    priced = t.prices.select("ticker", week).where("window_idx is not null").distinct()
+    heard = t.headlines.where("window_idx is not null").select("ticker", "window_idx").distinct()
+    parts = {"prices": priced, "headlines": heard, "prices only": priced.exceptAll(heard)}
+    named = [part.select("ticker", F.col("window_idx").cast("long").alias("window_idx"), F.lit(name).alias("part")) for name, part in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query("str2_unseen_titles")

@@ -91,9 +91,9 @@ def split_of(ticker: Column, holdout: Sequence[str], template_held_out: Column |
     return F.when(held, "val").otherwise("train")
 
 
-def pending(entities: DataFrame, done: DataFrame) -> DataFrame:
-    """Entities without any stored row."""
-    return entities.join(done.select("ticker").distinct(), "ticker", "left_anti")
+def pending(entities: DataFrame, done: DataFrame, on: Sequence[str] = ("ticker",)) -> DataFrame:
+    """Entities, or combinations of `on`, without any stored row."""
+    return entities.join(done.select(*on).distinct(), list(on), "left_anti")
 
 
 def class_targets(rows: DataFrame, floor: int = K.REBALANCE_FLOOR) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SALTS_CONF = "spark.newsquake.salts"
@@ -31,6 +34,19 @@ def salts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get(SALTS_CONF, str(DEFAULT_SALTS))))
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor sees, under the one the session names for checkpoints.
+
+    A local session that names none gets a temporary one; a cluster has to name it.
+    """
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="newsquake-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """A frame several branches read, computed once where the session names spark.checkpoint.dir.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsquake.plans.report import sorted_review
+from newsquake.sources.stored import rejects
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
@@ -18,6 +19,11 @@ def write_split(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("split").json(path)
 
 
+def write_rejects(lines: DataFrame, path: str) -> None:
+    """Lines that are no rows, as JSON Lines of (file, line, reject_reason); each run has a folder of its own."""
+    rejects(lines).write.mode("overwrite").json(path)
+
+
 def rewrite(path: str, staging: str, rows: DataFrame) -> None:
     """Replace a folder by rows computed from it.
 

@@ -6,17 +6,77 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from newsquake.functions.text import cell_after_label, percent_to_fraction
 from newsquake.plans.value import consensus_growth
 from newsquake.schemas import ROW
 
 
-def read_rows(spark: SparkSession, paths: str | Sequence[str], schema: StructType = ROW) -> DataFrame:
-    """JSON Lines with a given schema; blank lines are dropped and missing keys read as ''."""
-    rows = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths))
-    return rows.na.drop(how="all").na.fill("")
+BROKEN, NO_OBJECT, MISSING = "broken_json", "no_object", "missing"
+STRICT = {"allowSingleQuotes": "false"}
+END = '{"end of the line": 1}'  # stands behind every line when it is parsed
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], schema: StructType = ROW, required: Sequence[str] = ("ticker",)) -> DataFrame:
+    """Every line of JSON Lines files that is not blank: (file, line, reject_reason, row).
+
+    A line is one JSON object and nothing behind it; what is not is `broken_json`, another value is `no_object`, and an
+    object without one of the required fields, or with null there, is `missing <field>`. row is null for rejected
+    lines; in others missing keys read as ''. Required names that the schema does not have are not asked for.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    lines = lines.where(F.col("line").rlike(r"(?U)[^\s\x1C-\x1F]"))
+    # In an array with an end mark, whatever follows the object on its line breaks the array or adds to it.
+    end = StructType([*schema.fields, StructField("end of the line", LongType())])
+    parsed = F.from_json(F.concat(F.lit("["), F.col("line"), F.lit(f", {END}]")), ArrayType(end), STRICT)
+    lines = lines.withColumn("_p", parsed)
+    whole = (F.size("_p") == 2) & F.get("_p", F.lit(1))["end of the line"].isNotNull()
+    first = F.get("_p", F.lit(0))
+    reason = F.when(~F.coalesce(whole, F.lit(False)), F.when(F.col("line").rlike(r"^\s*\{"), BROKEN).otherwise(F.coalesce(_other_value(F.col("line")), F.lit(BROKEN))))
+    reason = reason.when(first.isNull() | ~F.col("line").rlike(r"^\s*\{"), NO_OBJECT)
+    for name in [n for n in required if n in schema.names]:
+        reason = reason.when(first[name].isNull(), f"{MISSING} {name}")
+    filled = F.struct(*[_filled(first[f.name], f).alias(f.name) for f in schema.fields])
+    return lines.withColumn("reject_reason", reason).select("file", "line", "reject_reason", F.when(F.col("reject_reason").isNull(), filled).alias("row"))
+
+
+def _filled(value: Column, field: StructField) -> Column:
+    return F.coalesce(value, F.lit("")) if isinstance(field.dataType, StringType) else value
+
+
+def _other_value(line: Column) -> Column:
+    """The reason for a JSON value that is no object; null where the line is no JSON at all."""
+    held = F.from_json(F.concat(F.lit('{"v": '), line, F.lit(f', "e": {END}}}')), "struct<v:string,e:struct<`end of the line`:bigint>>", STRICT)
+    plain = line.rlike(r'^\s*(\[|"|-?\d|true\b|false\b|null\b)')
+    return F.when(plain & held["e"]["end of the line"].isNotNull(), NO_OBJECT)
+
+
+def read_rows(
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType = ROW, required: Sequence[str] = ("ticker",), on_reject: str = "raise"
+) -> DataFrame:
+    """The rows of JSON Lines files; blank lines do not count and missing keys read as ''.
+
+    A line that is no such row (see read_lines) raises when the rows are computed, naming its file and reason; with
+    on_reject="leave" it is left to whoever stores `rejects`.
+    """
+    if on_reject not in ("raise", "leave"):
+        raise ValueError(f"on_reject must be 'raise' or 'leave', not {on_reject!r}")
+    lines = read_lines(spark, paths, schema, required)
+    if on_reject == "raise":
+        told = F.concat(F.lit("rejected line in "), F.col("file"), F.lit(" ("), F.col("reject_reason"), F.lit("): "), F.substring("line", 1, 200))
+        return lines.where(F.when(F.col("reject_reason").isNull(), True).otherwise(F.raise_error(told).cast("boolean"))).select("row.*")
+    return lines.where(F.col("reject_reason").isNull()).select("row.*")
+
+
+def rejects(lines: DataFrame) -> DataFrame:
+    """(file, line, reject_reason) of the lines of `read_lines` that are no rows."""
+    return lines.where(F.col("reject_reason").isNotNull()).select("file", "line", "reject_reason")
+
+
+def line_counts(lines: DataFrame) -> DataFrame:
+    """(file, outcome, n): rows and rejected lines of every file; outcome is 'row' or the reason."""
+    return lines.groupBy("file", F.coalesce("reject_reason", F.lit("row")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
