@@ -93,7 +93,7 @@ def template_rows(
 
     drawn has one row per draw with news_reaction, ticker, sector, the fill fields, move_pct and
     the columns of a rendered day (see rendered_days). pools holds (pool, idx, headlines, reasonings); sector_news holds
-    (sector, good_headline, bad_headline, linkage) and replaces some good and bad headlines.
+    (sector, good_headline, bad_headline, good_reasoning, bad_reasoning) and replaces some good and bad headlines.
     """
     marked = mark_holdout(pools)
     sizes = marked.groupBy("pool").agg(F.count(F.lit(1)).alias("pool_size"))
@@ -106,14 +106,9 @@ def template_rows(
     joined = skew_safe_join(joined, sector_news, ["sector"], [key], "left")
 
     directed = F.col("news_reaction").isin("good", "bad")
-    swapped = directed & F.col("linkage").isNotNull() & (draw(F.col(key), "sector-override") < K.SECTOR_OVERRIDE_RATE)
+    swapped = directed & F.col("good_headline").isNotNull() & (draw(F.col(key), "sector-override") < K.SECTOR_OVERRIDE_RATE)
     sector_line = F.when(F.col("news_reaction") == "good", F.col("good_headline")).otherwise(F.col("bad_headline"))
-    tone = F.when(F.col("news_reaction") == "good", "positive").otherwise("negative")
-    sector_text = F.concat(
-        F.lit("This sector-wide development is a real reinforcement rather than generic sentiment - "), F.col("linkage"),
-        F.lit(" - which gives {ticker} a concrete, if indirect, "), tone,
-        F.lit(" signal beyond company-specific news alone."),
-    )
+    sector_text = F.when(F.col("news_reaction") == "good", F.col("good_reasoning")).otherwise(F.col("bad_reasoning"))
     own_text = F.element_at("reasonings", draw_index(F.size("reasonings"), F.col(key), "reasoning") + 1)
     chosen = joined.withColumn("_swapped", F.coalesce(swapped, F.lit(False))).withColumns(
         {

@@ -322,12 +322,13 @@ class Tables:
 
     @cached_property
     def sector_news(self) -> DataFrame:
-        """(sector, good_headline, bad_headline, linkage) for the two sectors that have any."""
+        """(sector, good_headline, bad_headline, good_reasoning, bad_reasoning) for the two sectors that have any."""
         return self.entities.where(F.col("sector").isin("Energy", "Industrials")).select("sector").distinct().select(
             "sector",
             F.concat(F.col("sector"), F.lit(" demand firms")).alias("good_headline"),
             F.concat(F.col("sector"), F.lit(" demand softens")).alias("bad_headline"),
-            F.concat(F.lit("demand across "), F.col("sector"), F.lit(" sets volumes")).alias("linkage"),
+            F.concat(F.lit("{ticker} sells more as demand across "), F.col("sector"), F.lit(" firms.")).alias("good_reasoning"),
+            F.concat(F.lit("{ticker} sells less as demand across "), F.col("sector"), F.lit(" softens.")).alias("bad_reasoning"),
         )
 
     @cached_property

@@ -53,16 +53,21 @@ def current_path(spark: SparkSession, path: str) -> str | None:
 
 
 def publish(
-    df: DataFrame, path: str, save: Callable[[DataFrameWriter, str], None] = lambda w, p: w.parquet(p), keep: int = 2
+    df: DataFrame, path: str, save: Callable[[DataFrameWriter, str], None] = lambda w, p: w.parquet(p), keep: int = 2, number: int | None = None
 ) -> int:
     """Writes the frame as the next version and returns its number; rows may be computed from the current version.
 
+    A given number must lie above those there are.
+
     The `keep` newest versions stay, so that jobs which began to read the one before can end. Of two writers at a
     time the second to finish raises, as the marker of its number exists.
     """
     spark = df.sparkSession
     done = versions(spark, path)
-    number = (done[-1] if done else 0) + 1
+    last = done[-1] if done else 0
+    if number is not None and number <= last:
+        raise ValueError(f"version {number} of {path} is not above {last}")
+    number = last + 1 if number is None else number
     save(df.write.mode("overwrite"), version_path(path, number))
     mark(spark, f"{path}/{MARKERS}/{number:08d}")
     for old in done[: max(0, len(done) + 1 - keep)]:

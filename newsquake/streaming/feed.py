@@ -10,10 +10,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DateType, IntegerType, LongType, StructField, StructType
 
 from newsquake import constants as K
 from newsquake.plans.label import label_headlines
+from newsquake.sources.versions import delete, names, publish, version_path, versions
 
 
 def read_feed(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def weekly_counts(feed: DataFrame, watermark: str = "7 days", start: str = "0 da
 
 
 def unseen_titles(feed: DataFrame, watermark: str = "126 days") -> DataFrame:
-    """First arrival of each (ticker, title) within the watermark; older state is dropped.
+    """First arrival of each (ticker, title) within the watermark; older state is dropped (see first_titles for all time).
 
     Of a table, the row with the earliest date, then the least by its other columns; undated rows come last.
     """
@@ -44,6 +45,56 @@ def unseen_titles(feed: DataFrame, watermark: str = "126 days") -> DataFrame:
     return feed.groupBy("ticker", "title").agg(first).select(*[c if c in ("ticker", "title") else f"f.{c}" for c in feed.columns])
 
 
+def first_titles(index_path: str, out_path: str, buckets: int = 256, merge_every: int = 20) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer of the headlines whose (ticker, title) no earlier batch had, however long ago.
+
+    What was seen is an index of digests, cut into buckets by a hash. A batch reads the buckets its own titles fall
+    into, of the merged index and of the runs since the last merge, and adds a run with its new titles; every
+    `merge_every` batches the runs before are merged, so a batch lists no more than that many. A batch run again
+    after a failure reads what batches before it left, and replaces its own output and run.
+    """
+    runs_path, merged_path = f"{index_path}/runs", f"{index_path}/merged"
+    schema = StructType([StructField("digest", BinaryType()), StructField("bucket", IntegerType())])
+
+    def index(spark: SparkSession, batch_id: int, wanted: list[int] | None) -> DataFrame:
+        """Digests of the batches before; the newest version of the merged index is named after the first batch it lacks."""
+        merged = versions(spark, merged_path)
+        upto = merged[-1] if merged else 0
+        folders = [version_path(merged_path, upto)] if merged else []
+        there = {int(name.removeprefix("batch=")) for name in names(spark, runs_path) if name.startswith("batch=")}
+        folders += [f"{runs_path}/batch={n}" for n in sorted(there) if upto <= n < batch_id]
+        parts = [spark.read.schema(schema).option("basePath", f).parquet(f) for f in folders]
+        seen = spark.createDataFrame([], schema)
+        for part in parts:
+            seen = seen.union(part if wanted is None else part.where(F.col("bucket").isin(wanted)))
+        return seen
+
+    def merge(spark: SparkSession, batch_id: int) -> None:
+        done = versions(spark, merged_path)
+        if batch_id == 0 or batch_id % merge_every or (done and done[-1] >= batch_id):
+            return
+        whole = index(spark, batch_id, None).distinct().repartition("bucket")
+        publish(whole, merged_path, lambda writer, folder: writer.partitionBy("bucket").parquet(folder), number=batch_id)
+        for name in names(spark, runs_path):
+            if name.startswith("batch=") and int(name.removeprefix("batch=")) < batch_id:
+                delete(spark, f"{runs_path}/{name}")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        merge(spark, batch_id)
+        digest = F.unhex(F.sha2(F.to_json(F.struct("ticker", "title")), 256))
+        told = unseen_titles(batch).withColumn("digest", digest)
+        told = told.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+        wanted = sorted(r.bucket for r in told.select("bucket").distinct().collect())  # `buckets` numbers at most
+        fresh = told.join(index(spark, batch_id, wanted), ["digest", "bucket"], "left_anti")
+        own = f"{out_path}/batch={batch_id}"
+        fresh.select(*batch.columns, "digest", "bucket").write.mode("overwrite").parquet(own)
+        written = spark.read.schema(StructType([*batch.schema.fields, *schema.fields])).parquet(own)
+        written.select("digest", "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{runs_path}/batch={batch_id}")
+
+    return run
+
+
 def ready(feed: DataFrame, as_of, buffer_days: int = K.POST_PUBLISH_DAYS) -> DataFrame:
     """Headlines whose forward window is complete on `as_of`."""
     return feed.where(F.to_date("published_at") <= F.date_sub(F.lit(as_of), buffer_days))

@@ -43,6 +43,41 @@ def test_titles_are_seen_once(spark, tmp_path):
     assert len(got) == len(set(got)) == feed.unseen_titles(spark.read.parquet(path)).count()
 
 
+def test_titles_are_remembered_for_good(spark, tmp_path):
+    out, index = str(tmp_path / "out"), str(tmp_path / "index")
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    batches = [[(k * 10 + i, "AB"[i % 2], f"title {(k * 3 + i) % 17}", day(40 * k)) for i in range(6)] for k in range(9)]
+    batches[2] += [(90, "A", None, day(80)), (91, None, "title 1", day(80)), (92, "A", "", None), (93, "A", "", day(1))]
+    batches[8] += [(94, "A", None, day(320)), (95, "A", "title 0", day(320))]  # the same title 320 days later
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in batches]
+    write = feed.first_titles(index, out, buckets=5, merge_every=3)
+    for n, frame in enumerate(frames):
+        write(frame, n)
+        if n in (3, 6):  # a batch that is run again, once right after a merge
+            write(frame, n)
+        assert len([p for p in (tmp_path / "index" / "runs").iterdir()]) <= 3
+    got = sorted((str(r.ticker), str(r.title), r.batch) for r in spark.read.parquet(out).collect())
+    first = {}
+    for n, rows in enumerate(batches):
+        for _, ticker, title, _ in rows:
+            first.setdefault((str(ticker), str(title)), n)
+    assert got == sorted((*key, n) for key, n in first.items())
+    assert {r.feed_pos for r in spark.read.parquet(out).where("title = ''").collect()} == {93}
+
+
+def test_a_stream_restarted_in_between_remembers_titles(spark, tmp_path):
+    path = landing(spark, tmp_path)
+    write = feed.first_titles(str(tmp_path / "index"), str(tmp_path / "out"), merge_every=2)
+    schema = spark.read.parquet(path).schema
+    for _ in range(2):  # the second run sees files that arrived after the first
+        drain(feed.read_feed(spark, path, schema, 1).writeStream.foreachBatch(write), tmp_path, "all-titles")
+        late = [(500 + i, "A", f"title {30 + i}", dt.datetime(2024, 9, 1)) for i in range(20)]
+        spark.createDataFrame(late, SCHEMA).write.mode("append").parquet(path)
+    got = [(r.ticker, r.title) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    everything = {(r.ticker, r.title) for r in spark.read.parquet(path).collect()}
+    assert len(got) == len(set(got)) and set(got) == everything
+
+
 def test_labels_wait_for_their_forward_window(spark, tmp_path):
     path = landing(spark, tmp_path)
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(-3, 90)]
