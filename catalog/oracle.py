@@ -692,13 +692,30 @@ ORACLE["srt2_valuation_ranking"] = LAST_DAYS + f"""SELECT ticker, as_of::VARCHAR
 ORACLE["snk6_spot_check"] = LAST_DAYS + (
     "SELECT ticker, as_of::VARCHAR AS as_of, true AS market_data_matches, ticker <> 'NATION_3' AS valuation_matches, true AS earnings_matches FROM days"
 )
-ORACLE["prj7_typed_from_text"] = PRELUDE + f""", t AS (SELECT ticker, price IS NOT NULL AND market_cap IS NOT NULL AND eps_known IS NOT NULL AS known, * EXCLUDE (ticker) FROM shown)
-  SELECT ticker, as_of::VARCHAR AS as_of, CASE WHEN known THEN printf('%.2f', price) END AS price, CASE WHEN known THEN coalesce(printf('%.1f', pe_trailing), 'N/A') END AS pe_trailing,
+_TYPED_FROM = f""", t AS (SELECT ticker, price IS NOT NULL AND market_cap IS NOT NULL AND eps_known IS NOT NULL AS known, * EXCLUDE (ticker) FROM shown)"""
+_TYPED = f"""SELECT ticker, as_of::VARCHAR AS as_of, CASE WHEN known THEN printf('%.2f', price) END AS price, CASE WHEN known THEN coalesce(printf('%.1f', pe_trailing), 'N/A') END AS pe_trailing,
     CASE WHEN known THEN coalesce(printf('%.1f', nullif(pe_forward, 0)), 'N/A') END AS pe_forward,
     CASE WHEN known AND median_pe IS NOT NULL THEN sector END AS sector,
     CASE WHEN text_gap IS NOT NULL THEN {_LABEL} END AS basis, CASE WHEN text_gap IS NOT NULL THEN printf('%.2f', intrinsic) END AS intrinsic,
     CASE WHEN text_gap IS NOT NULL THEN CASE WHEN gap_pct >= 0 THEN 'overvalued' ELSE 'undervalued' END END AS verdict,
     printf('%.0f', abs(text_gap)::DOUBLE) AS pct FROM t"""
+ORACLE["prj7_typed_from_text"] = PRELUDE + _TYPED_FROM + " " + _TYPED
+# chr(10) line ends; one text per entity, its last day.
+ORACLE["snk5_valuation_report"] = LAST_DAYS + _TYPED_FROM + f""", plain AS ({_TYPED}),
+  said AS (SELECT ticker, {_MARKET} AS market_data, {_VALUATION} AS valuation, {_EARNINGS} AS earnings FROM gaps),
+  listed AS (SELECT n.n_name AS ticker, 'Nation ' || n.n_nationkey || ' Holdings Inc.' AS name, y.* EXCLUDE (ticker), x.* EXCLUDE (ticker), x.ticker IS NOT NULL AS there
+    FROM nation n LEFT JOIN plain y ON y.ticker = n.n_name LEFT JOIN said x ON x.ticker = n.n_name),
+  shown_cells AS (SELECT ticker, name, coalesce(pct::BIGINT, 0) AS pct, CASE WHEN there THEN coalesce(price, 'N/A') ELSE 'ERROR' END AS price,
+    CASE WHEN there THEN coalesce(intrinsic, 'N/A') || ' (' || coalesce(basis, 'N/A') || ')' ELSE '- (-)' END AS intrinsic,
+    CASE WHEN there THEN coalesce(verdict || ' ' || pct || '%', 'N/A') ELSE '-' END AS gap, CASE WHEN there THEN coalesce(sector, 'N/A') ELSE '-' END AS sector,
+    CASE WHEN there THEN coalesce(pe_trailing, 'N/A') || '/' || coalesce(pe_forward, 'N/A') ELSE '-/-' END AS pe,
+    coalesce(market_data, 'no texts for this entity') AS market_data, coalesce(valuation, '-') AS valuation, coalesce(earnings, '-') AS earnings FROM listed)
+  SELECT 1::BIGINT AS place, pct, ticker, '| ' || concat_ws(' | ', ticker, name, price, intrinsic, gap, sector, pe) || ' |' AS value FROM shown_cells
+  UNION ALL SELECT 3, pct, ticker, concat_ws(chr(10), '### ' || ticker || ' (' || name || ')', '', '**Market Data:**', '```', market_data, '```', '', '**Valuation:**', '```', valuation, '```', '',
+    '**Earnings:**', '```', earnings, '```', '') FROM shown_cells
+  UNION ALL SELECT 0, 0, '', '# Valuation report - all ' || count(*) || ' tickers' || chr(10) || chr(10) || 'Generated 2002-01-01. Sorted by |mispricing %|, largest first.' || chr(10) || chr(10)
+    || '| Ticker | Name | Price | Intrinsic (basis) | Gap | Sector | P/E (T/F) |' || chr(10) || '|---|---|---|---|---|---|---|' FROM nation
+  UNION ALL SELECT 2, 0, '', chr(10) || '---' || chr(10) || chr(10) || '## Full detail per ticker' || chr(10)"""
 _sql("agg7_trailing_eps", f"SELECT ticker, period_end::VARCHAR AS period_end, {_rounded('eps_ttm')} FROM eps_ttm")
 _sql("agg18_revenue_ranges", f"SELECT ticker, {_r('min(revenue) / 1e9::DOUBLE', 9)} AS low, {_r('max(revenue) / 1e9::DOUBLE', 9)} AS high FROM rev_q GROUP BY 1")
 _sql(
@@ -871,6 +888,11 @@ _sql(
     _FINISHED + f"""SELECT ticker, 1::BIGINT AS place, split, 2 * count(*) AS n, NULL AS header FROM done GROUP BY 1, 3
     UNION ALL SELECT DISTINCT ticker, 0, '', 1, chr(10) || '{_RULE}' || chr(10) || '# TICKER: ' || ticker || chr(10) || '{_RULE}' || chr(10) FROM done""",
 )
+_sql(
+    "snk4_review_heading",
+    _FINISHED + f"""SELECT 'REAL dataset review list: ' || 2 * count(*) || ' total rows (' || 2 * count(*) FILTER (split = 'train') || ' train, '
+    || 2 * count(*) FILTER (split = 'val') || ' val), grouped by ticker.' || chr(10) || '{"=" * 100}' || chr(10) AS value FROM done""",
+)
 _sql("fn24_market_cap_text", f"SELECT o_orderkey, {_money('v')} AS amount FROM (SELECT o_orderkey, o_totalprice * 4e6::DOUBLE AS v FROM orders)", prelude=False)
 _sql(
     "fn18_exact_decimal_text",

@@ -582,7 +582,7 @@ def _(t):
 
 @query("agg2_price_percentiles")
 def _(t):
-    found = nearest_rank(t.prices, ["ticker"], "close", K.PERCENTS, step=10.0)
+    found = nearest_rank(t.prices, ["ticker"], "close", K.PERCENTS)
     return found.select("ticker", F.col("percent").cast("long").alias("percent"), F.col("n").cast("long").alias("n"), _r("close").alias("close"))
 
 
@@ -710,6 +710,19 @@ def _(t):
     )
 
 
+@query("snk4_review_heading")
+def _(t):
+    return report.review_heading(_finished(t), "real")
+
+
+@query("snk5_valuation_report")
+def _(t):
+    latest = t.prices.groupBy("ticker").agg(F.max("trade_date").alias("as_of"))
+    texts = render.blocks(value.value_days(latest, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors))
+    lines = report.valuation_report(t.entities, texts.select("ticker", "market_data", "valuation", "earnings"), F.lit("2002-01-01"))
+    return lines.select(F.col("place").cast("long").alias("place"), F.col("pct").cast("long").alias("pct"), "ticker", "value")
+
+
 @query("snk6_spot_check")
 def _(t):
     latest = t.prices.groupBy("ticker").agg(F.max("trade_date").alias("as_of"))

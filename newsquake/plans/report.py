@@ -11,6 +11,7 @@ from newsquake.plans.value import value_days
 
 RULE = "-" * 100
 HEADER_RULE = "#" * 100
+HEADING_RULE = "=" * 100
 
 
 def split_summary(rows: DataFrame) -> DataFrame:
@@ -61,9 +62,66 @@ def review_list(rows: DataFrame, row_order: str) -> DataFrame:
     return headers.unionByName(entries)
 
 
-def sorted_review(rows: DataFrame, row_order: str) -> DataFrame:
+def review_heading(rows: DataFrame, label: str) -> DataFrame:
+    """The line over a review list, with totals; one row, also over no rows."""
+    totals = split_summary(rows)
+    return totals.select(
+        F.format_string(
+            f"%s dataset review list: %d total rows (%d train, %d val), grouped by ticker.\n{HEADING_RULE}\n",
+            F.lit(label.upper()), "total", "train", "val",
+        ).alias("value")
+    )
+
+
+def review_text(rows: DataFrame, row_order: str, label: str) -> DataFrame:
+    """Heading and sorted review list, in order: the totals are counted in a pass of their own, before the entries."""
+    heading = review_heading(rows, label).select(
+        F.lit(None).cast("string").alias("ticker"), F.lit(-1).alias("place"), F.lit("").alias("split"), F.lit(None).cast("string").alias(row_order), "value"
+    )
     numeric = F.col(row_order).try_cast("decimal(38,0)")
-    return review_list(rows, row_order).orderBy("ticker", "place", "split", numeric, row_order).select("value")
+    every = heading.unionByName(review_list(rows, row_order))
+    return every.orderBy(F.col("place") >= 0, "ticker", "place", "split", numeric, row_order).select("value")
+
+
+def valuation_report(entities: DataFrame, texts: DataFrame, written_on: Column) -> DataFrame:
+    """(place, pct, ticker, value): the lines of a ranked valuation report, to be ordered by report_text.
+
+    place 0 is the heading with the number of entities, 1 a table line per entity, 2 the heading of the details, 3 the
+    full texts per entity. entities: one row per (ticker, name); texts: one row per ticker with market_data, valuation
+    and earnings. What a text does not tell is N/A; an entity without texts gets ERROR for its price and dashes.
+    """
+    typed = entities.select("ticker", "name").join(typed_from_text(texts).withColumn("there", F.lit(True)), "ticker", "left")
+    there = F.col("there").isNotNull()
+    told = lambda c: F.when(there, F.coalesce(c, F.lit("N/A"))).otherwise("-")
+    cells = [
+        F.col("ticker"),
+        F.col("name"),
+        F.when(there, F.coalesce("price", F.lit("N/A"))).otherwise("ERROR"),
+        F.concat(told(F.col("intrinsic")), F.lit(" ("), told(F.col("basis")), F.lit(")")),
+        told(F.concat("verdict", F.lit(" "), "pct", F.lit("%"))),
+        told(F.col("sector")),
+        F.concat(told(F.col("pe_trailing")), F.lit("/"), told(F.col("pe_forward"))),
+    ]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    blocks = [("Market Data", "market_data", "no texts for this entity"), ("Valuation", "valuation", "-"), ("Earnings", "earnings", "-")]
+    fenced = [F.concat(F.lit(f"**{title}:**\n```\n"), F.coalesce(text, F.lit(none)), F.lit("\n```\n")) for title, text, none in blocks]
+    detail = F.concat(F.lit("### "), "ticker", F.lit(" ("), "name", F.lit(")\n\n"), F.concat_ws("\n", *fenced))
+    # both lines of an entity come from the same row, so the entities are valued once
+    parts = F.array(F.struct(F.lit(1).alias("place"), line.alias("value")), F.struct(F.lit(3).alias("place"), detail.alias("value")))
+    pct = F.coalesce(F.col("pct").cast("int"), F.lit(0))
+    lines = typed.select("ticker", pct.alias("pct"), F.explode(parts).alias("part")).select("part.place", "pct", "ticker", "part.value")
+    heading = F.concat(
+        F.format_string("# Valuation report - all %d tickers\n\nGenerated %s. Sorted by |mispricing %%|, largest first.\n\n", F.count(F.lit(1)), F.first(written_on.cast("string"))),
+        F.lit("| Ticker | Name | Price | Intrinsic (basis) | Gap | Sector | P/E (T/F) |\n|---|---|---|---|---|---|---|"),
+    )
+    top = entities.agg(F.lit(0).alias("place"), F.lit(0).alias("pct"), F.lit("").alias("ticker"), heading.alias("value"))
+    middle = entities.sparkSession.createDataFrame([(2, 0, "", "\n---\n\n## Full detail per ticker\n")], "place int, pct int, ticker string, value string")
+    return top.unionByName(middle).unionByName(lines)
+
+
+def report_text(lines: DataFrame) -> DataFrame:
+    """The report's text in order, largest mispricing first, then by ticker."""
+    return lines.orderBy("place", F.col("pct").desc(), "ticker").select("value")
 
 
 def valuation_ranking(valued: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsquake.plans.report import sorted_review
+from newsquake.plans.report import report_text, review_text, valuation_report
 from newsquake.sources.stored import rejects
 
 
@@ -45,13 +45,12 @@ def rewrite(path: str, staging: str, rows: DataFrame) -> None:
     fs.delete(previous, True)
 
 
-def write_review(rows: DataFrame, path: str, row_order: str) -> None:
-    """Review text in ticker order, as ordered part files."""
-    sorted_review(rows, row_order).write.mode("overwrite").text(path)
+def write_review(rows: DataFrame, path: str, row_order: str, label: str = "real") -> None:
+    """Review text: a heading with totals, then the rows in ticker order, as ordered part files."""
+    review_text(rows, row_order, label).write.mode("overwrite").text(path)
 
 
-def write_ranking(ranking: DataFrame, path: str) -> None:
-    """Valuation ranking as a markdown table body, in rank order."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("N/A")) for c in ranking.columns]
-    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    ranking.select(line.alias("value")).write.mode("overwrite").text(path)
+def write_valuation_report(entities: DataFrame, texts: DataFrame, path: str, written_on: Column | None = None) -> None:
+    """Valuation report in markdown: heading, ranked table, then the texts of each entity, as ordered part files."""
+    lines = valuation_report(entities, texts, F.current_date() if written_on is None else written_on)
+    report_text(lines).write.mode("overwrite").text(path)

@@ -38,6 +38,48 @@ def test_nearest_rank(spark, n):
     assert got == {p: (n, ordered[min(n - 1, max(0, round(p / 100 * (n - 1))))]) for p in percents}
 
 
+ROOMS = {
+    "one range": [1.0 + i * 2.0**-50 for i in range(300)],
+    "far apart": [(-1) ** i * 2.0 ** (i * 13 % 1900 - 950) for i in range(200)],
+    "one far out": [i / 7 for i in range(200)] + [1e300, float("inf"), float("-inf")],
+    "zeros and repeats": [0.0, -0.0] * 40 + [-1e-310, 5e-324] * 30 + [3.5] * 50,
+}
+
+
+@pytest.mark.parametrize("values", ROOMS.values(), ids=ROOMS.keys())
+def test_nearest_rank_wherever_values_lie(spark, values):
+    df = spark.createDataFrame([("s", v) for v in values], "series string, v double")
+    other = df.withColumns({"series": F.lit("t"), "v": -F.col("v")})
+    got = nearest_rank(df.union(other), ["series"], "v", (0, 5, 50, 95, 100), most=3, bins=8).collect()
+    for series, ordered in (("s", sorted(values)), ("t", sorted(-v for v in values))):
+        told = {r["percent"]: r["v"] for r in got if r["series"] == series}
+        assert told == {p: ordered[round(p / 100 * (len(values) - 1))] for p in (0, 5, 50, 95, 100)}
+
+
+def test_nearest_rank_of_long_integers_and_decimals(spark):
+    big = [10**18 + i for i in range(50)]
+    df = spark.createDataFrame([("s", v) for v in big], "series string, v long")
+    for typed in (df, df.withColumn("v", F.col("v").cast("decimal(24,4)") / 10000)):
+        got = {r["percent"]: r["v"] for r in nearest_rank(typed, ["series"], "v", (0, 50, 100), most=2, bins=4).collect()}
+        every = sorted(r["v"] for r in typed.collect())
+        assert got == {0: every[0], 50: every[24], 100: every[49]}
+    assert nearest_rank(df.limit(0), ["series"], "v", (50,)).collect() == []
+
+
+def test_sample_moves_no_whole_class(spark):
+    df = spark.range(5000).withColumn("g", F.when(F.col("id") < 4000, "a").otherwise("b"))
+    targets = spark.createDataFrame([("a", 100), ("b", 5000)], "g string, target long")
+    taken = sample_per_group(df, "g", targets, ["id"], "s")
+    assert taken.groupBy("g").count().orderBy("g").collect() == [("a", 100), ("b", 1000)]
+    def nodes(plan):
+        yield plan.nodeName()
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    # The maps are subqueries, no children: the rows themselves meet no join and no aggregate.
+    assert not {"Join", "Aggregate"} & set(nodes(taken._jdf.queryExecution().optimizedPlan()))
+
+
 def test_running_totals_over_chunks(spark):
     rng = random.Random(1)
     rows = [(m, i * 3, rng.randrange(2)) for m in ("a", "b") for i in range(97)]

@@ -108,13 +108,45 @@ def test_blank_lines_are_skipped(spark, tmp_path):
     assert sorted((r["ticker"], r["task"]) for r in got.collect()) == [("A", ""), ("B", "")]
 
 
+def told(folder):
+    return "".join(p.read_text() for p in sorted(folder.glob("part-*")))
+
+
+def test_heading_over_no_rows(spark, tmp_path):
+    empty = spark.createDataFrame([], ROW).withColumns({"id": F.lit(1), "split": F.lit("train")})
+    sinks.write_review(empty, str(tmp_path / "none"), "id", "synthetic")
+    assert told(tmp_path / "none") == f"SYNTHETIC dataset review list: 0 total rows (0 train, 0 val), grouped by ticker.\n{'=' * 100}\n\n"
+
+
+def test_valuation_report_in_order(spark, tmp_path):
+    entities = spark.createDataFrame([("A", "Alpha"), ("B", "Beta"), ("C", "Gamma"), ("D", "Delta")], "ticker string, name string")
+    market = "Price: $1,250.50\nP/E (trailing): 12.5 | P/E (forward): N/A\nSector Median P/E: 20.0 (Energy)"
+    gap = "Intrinsic Value (EPS-based): $900.00\nvs Current Price: {} by ~{}%"
+    texts = [("A", market, gap.format("overvalued", 39), "e1"), ("B", market, gap.format("undervalued", 120), "e2"), ("C", "nothing known", "", None)]
+    frame = spark.createDataFrame(texts, "ticker string, market_data string, valuation string, earnings string").repartition(3)
+    sinks.write_valuation_report(entities.repartition(2), frame, str(tmp_path / "report"), F.lit("2024-05-06"))
+    body = told(tmp_path / "report")
+    lines = body.split("\n")
+    assert lines[0] == "# Valuation report - all 4 tickers" and lines[2].startswith("Generated 2024-05-06.")
+    assert lines[6:10] == [
+        "| B | Beta | 1,250.50 | 900.00 (EPS-based) | undervalued 120% | Energy | 12.5/N/A |",
+        "| A | Alpha | 1,250.50 | 900.00 (EPS-based) | overvalued 39% | Energy | 12.5/N/A |",
+        "| C | Gamma | N/A | N/A (N/A) | N/A | N/A | N/A/N/A |",
+        "| D | Delta | ERROR | - (-) | - | - | -/- |",
+    ]
+    assert lines[10:15] == ["", "---", "", "## Full detail per ticker", ""]
+    marks = [body.index(f"### {t}") for t in ("B (Beta)", "A (Alpha)", "C (Gamma)", "D (Delta)")]
+    assert marks == sorted(marks)
+    assert f"### B (Beta)\n\n**Market Data:**\n```\n{market}\n```\n\n**Valuation:**\n```\n{gap.format('undervalued', 120)}\n```\n\n**Earnings:**\n```\ne2\n```\n\n" in body
+
+
 def test_review_list(spark, tmp_path):
     data = [row(task="reaction", ticker=t, news="n", output='{"news_reaction":"good"}') for t in ("B", "A", "B")]
     frame = spark.createDataFrame(data, ROW).withColumn("id", F.monotonically_increasing_id())
     frame = frame.withColumn("split", F.when(F.col("ticker") == "A", "val").otherwise("train"))
     sinks.write_review(frame, str(tmp_path / "review"), "id")
-    written = sorted((tmp_path / "review").glob("part-*"))
-    body = "".join(p.read_text() for p in written)
+    body = told(tmp_path / "review")
+    assert body.startswith(f"REAL dataset review list: 3 total rows (2 train, 1 val), grouped by ticker.\n{'=' * 100}\n\n\n{'#' * 100}\n# TICKER: A\n")
     assert body.index("# TICKER: A") < body.index("--- [val] A (reaction) ---") < body.index("# TICKER: B") < body.index("--- [train] B")
     assert body.count("# TICKER: B") == 1 and body.count("--- [train] B") == 2
     summary = report.split_summary(frame).first()
