@@ -4,8 +4,9 @@ Every word of a text is a number: its place in the templates' vocabulary, 0 if i
 k words, a polynomial in the size of the vocabulary, is exact for template words, so a hash met is the words met.
 All rolling hashes of all texts are joined to the positions of the templates' hashes. A text that contains a
 template hits it along one diagonal (text position minus template position); hits are counted per diagonal,
-neighbouring diagonals are merged, as an inserted or lost word moves the rest to the next one, and the spans
-are verified by the share of the template's words they cover in order.
+diagonals at most REACH apart are merged, as an inserted or lost word moves the rest to the next one, and the spans
+are verified: the longest chain of their hits that goes forward in the text and in the template, as a share of the
+template's hashes, decides.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsquake.llm.automaton import words_of
@@ -61,12 +62,28 @@ def template_rows(phrases, notices) -> list[tuple[int, str, bool, list[bytes]]]:
     return rows
 
 
+def longest_chain(hits: Column, grams: Column) -> Column:
+    """Length of the longest chain of hits in which text and template positions both grow.
+
+    hits are (pos, back) sorted, back the negative template position: of hits at one text position the latest in the
+    template comes first, so that none of them continues another. The state holds, for each template position, the
+    longest chain that ends there.
+    """
+    none = F.transform(F.sequence(F.lit(1), grams), lambda i: F.lit(0))
+
+    def longer(state: Column, hit: Column) -> Column:
+        reached = F.coalesce(F.array_max(F.slice(state, 1, -hit["back"])), F.lit(0)) + 1
+        return F.transform(state, lambda v, i: F.when(i == -hit["back"], F.greatest(v, reached)).otherwise(v))
+
+    return F.aggregate(hits, none, longer, F.array_max)
+
+
 def scan_licenses(docs: DataFrame, shelf: Shelf, phrases=PHRASES, notices=NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     n_base counts all places where a phrase stands whole and consecutive, first_word and last_word are the least
-    and largest start of one. labels adds the notices found with SHARE of their hashes on merged diagonals; score
-    is the largest share of a template found, 0 without any. spans lists (label, start, end, share), in words.
+    and largest start of one. labels adds the notices found with SHARE of their hashes in order on merged diagonals;
+    score is the largest share of a template found, 0 without any. spans lists (label, start, end, share), in words.
     Null and empty texts have no words and no labels. Rows that repeat are scanned each for itself; null ids stay.
     """
     templates = template_rows(phrases, notices)
@@ -87,6 +104,8 @@ def scan_licenses(docs: DataFrame, shelf: Shelf, phrases=PHRASES, notices=NOTICE
                 rows.append((len(words), grams))
             yield pd.DataFrame(rows, columns=["n_words", "grams"])
 
+    if base_of**K >= 2**31:
+        raise ValueError(f"{len(number)} different words in templates are too many for hashes of 32 bits")
     one = docs.select(F.col(id_col).alias("id"), hashed(F.col(text_col).cast("binary")).alias("h")).select("id", "h.*")
     rolled = shelf.put(one.withColumn("row", F.monotonically_increasing_id()))
     places = []
@@ -101,19 +120,22 @@ def scan_licenses(docs: DataFrame, shelf: Shelf, phrases=PHRASES, notices=NOTICE
     spots = F.broadcast(docs.sparkSession.createDataFrame(places, "gram int, template int, at int, grams int, label string, base boolean"))
     hits = rolled.select("row", F.posexplode("grams").alias("pos", "gram")).join(spots, "gram")
     diagonals = hits.groupBy("row", "template", "grams", "label", "base", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")
+        F.count(F.lit(1)).alias("votes"), F.collect_list("at").alias("ats")
     )
-    diagonals = shelf.put(diagonals)
+    diagonals = shelf.put(diagonals)  # at most one hit per place of the template each
     exact = diagonals.where("base and votes = grams").select("row", "label", "base", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("grams") + K - 1).alias("end"), F.lit(1.0).alias("share"))
-    # A diagonal continues the one before if it starts behind it, within the template's length, a few words off.
-    along = Window.partitionBy("row", "template").orderBy("first", "diagonal")
-    before = lambda c: F.lag(c).over(along)
-    joined = (F.abs(F.col("diagonal") - before("diagonal")) <= REACH) & (F.col("first") > before("last")) & (F.col("first") <= before("last") + F.col("grams"))
-    runs = diagonals.where("not base").withColumn("fresh", F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1))
+    along = Window.partitionBy("row", "template").orderBy("diagonal")
+    near = F.col("diagonal") - F.lag("diagonal").over(along) <= REACH
+    runs = diagonals.where("not base").withColumn("fresh", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1))
     runs = runs.withColumn("run", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("row", "template", "label", "base", "run", "grams").agg(F.sum("votes").alias("votes"), F.min("first").alias("start"), (F.max("last") + K).alias("end"))
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
-    found = spans.select("row", "label", "base", "start", "end", share.alias("share")).where(F.col("share") >= SHARE)
+    # A run's hits are hits of one text; runs with too few places of the template hit need no verification.
+    merged = runs.groupBy("row", "template", "label", "base", "run", "grams").agg(F.collect_list(F.struct("diagonal", "ats")).alias("parts"))
+    merged = merged.where(F.size(F.array_distinct(F.flatten(F.col("parts.ats")))) >= SHARE * F.col("grams"))
+    hit = lambda part: F.transform(part["ats"], lambda at: F.struct((at + part["diagonal"]).alias("pos"), (-at).alias("back")))
+    spans = merged.withColumn("hits", F.array_sort(F.flatten(F.transform("parts", hit))))
+    share = longest_chain(F.col("hits"), F.col("grams")) / F.col("grams")
+    start, end = F.col("hits")[0]["pos"], F.element_at("hits", -1)["pos"] + K
+    found = spans.select("row", "label", "base", start.alias("start"), end.alias("end"), share.alias("share")).where(F.col("share") >= SHARE)
     found = exact.union(found)
     only_base = lambda c: F.when(F.col("base"), F.col(c))
     told = found.groupBy("row").agg(

@@ -233,6 +233,45 @@ def test_merged_diagonals_survive_a_lost_word(spark, shelf):
     assert got[1].labels == "mit" and got[1].base_labels == "" and 0.85 <= got[1].score < 1 and got[2].labels == ""
 
 
+def chain_share(words, notice):
+    """The longest chain of pairs of words that goes forward in both, over the notice's pairs, by plain loops."""
+    mine, theirs = list(zip(words, words[1:])), list(zip(notice, notice[1:]))
+    best = [[0] * (len(theirs) + 1) for _ in range(len(mine) + 1)]
+    for i, a in enumerate(mine):
+        for j, b in enumerate(theirs):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + (a == b))
+    return best[-1][-1] / len(theirs)
+
+
+def test_notices_with_one_word_changed_anywhere(spark, shelf):
+    texts = []
+    for notice, _ in licenses.NOTICES:
+        words = notice.split()
+        for at in range(len(words)):
+            for changed in (words[:at] + ["zebra"] + words[at:], words[:at] + words[at + 1 :], words[:at] + ["zebra"] + words[at + 1 :]):
+                texts.append(["some", "text"] + changed + ["and", "more"])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.id: r for r in licenses.scan_licenses(docs, shelf).collect()}
+    for i, words in enumerate(texts):
+        shares = [(chain_share(words, notice.split()), label) for notice, label in licenses.NOTICES]
+        base = set(filter(None, got[i].base_labels.split(",")))
+        want = {label for share, label in shares if share >= licenses.SHARE}
+        assert set(filter(None, got[i].labels.split(","))) == base | want, " ".join(words)
+        assert got[i].score == max([1.0] * bool(base) + [share for share, _ in shares if share >= licenses.SHARE], default=0.0), " ".join(words)
+    many = licenses.NOTICES[10][0]
+    both = spark.createDataFrame([(1, " ".join([many] * 40)), (2, many.replace("obtain", "freely obtain"))], "doc_id bigint, text string")
+    spans = {r.id: r.spans for r in licenses.scan_licenses(both, shelf).collect()}
+    size = len(many.split())
+    assert [(s.start, s.end) for s in spans[1]] == [(i * size, (i + 1) * size) for i in range(40)]
+    assert [(s.start, s.end, s.label) for s in spans[2]] == [(0, size + 1, "apache-2.0")]
+
+
+def test_too_many_template_words_raise(docs, shelf):
+    wide = [(" ".join(f"w{i}" for i in range(50_000)), "x")]
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(docs, shelf, notices=wide)
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.default_rng(2)
     for n in (1, 2, 6):
