@@ -59,13 +59,14 @@ class Shelf:
         for opened in Shelf.watched:
             opened.append(self)
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """The frame written and read back; with `by`, in a folder for each value of that column."""
         self.count += 1
         path = f"{self.folder}/t{self.count}"
         before = self.spark.conf.get(TIDY_CONF)
         self.spark.conf.set(TIDY_CONF, "true" if self.tidy else before)
         try:
-            df.write.parquet(path)
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
         finally:
             self.spark.conf.set(TIDY_CONF, before)
         kept = self.spark.read.schema(df.schema).parquet(path)

@@ -3,7 +3,8 @@
 Level 1 encodes the listed keys. Keys of the universe that it takes for listed though they are not go into level 2,
 listed keys that level 2 takes for those go into level 3, and so on until no false positive is left. A key of the
 universe is then decided exactly by the first level that does not hold it, without a join: the levels are a few
-bits per listed key, carried as scalars. That is done up to a size that is checked; a longer list is joined.
+bits per listed key, carried as scalars. A scalar has a bounded size: keys are cut into blocks by a hash, so many that
+no level of a block holds more than LARGEST keys, and each block has a cascade of its own and judges its own rows.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsquake.llm.common import Shelf
+from newsquake.llm.common import Shelf, free
 
 BITS_PER_KEY = 8
 HASHES = 3
-LARGEST = 4_000_000  # keys in one level: 4 MB of bits
+LARGEST = 4_000_000  # keys in one level of a block: 4 MB of bits
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -63,20 +64,28 @@ class Cascade:
         return F.coalesce(answer, F.lit(False))
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, shelf: Shelf) -> Cascade | None:
-    """The cascade of `listed` keys over the keys of `universe` (both a column `key`; repeats and nulls do not matter).
+def marked_keys(listed: DataFrame, universe: DataFrame, shelf: Shelf) -> DataFrame:
+    """Each key of both frames (a column `key`; repeats and nulls do not matter) once, `on` 1 where it is listed."""
+    marked = universe.select("key", F.lit(0).alias("on")).union(listed.select("key", F.lit(1).alias("on")))
+    return shelf.put(marked.where("key is not null").groupBy("key").agg(F.max("on").alias("on")))
+
+
+def block_of(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int")
+
+
+def build_cascade(keys: DataFrame, shelf: Shelf, largest: int) -> Cascade | None:
+    """The cascade over marked keys; null where a level would pass `largest` keys, so that they need more blocks.
 
-    None where a level would pass LARGEST keys. An empty list gives a cascade without levels, which lists nothing.
+    Without a listed key the cascade has no level and lists nothing.
     """
-    marked = universe.select("key", F.lit(0).alias("on")).union(listed.select("key", F.lit(1).alias("on")))
-    keys = shelf.put(marked.where("key is not null").groupBy("key").agg(F.max("on").alias("on")))
     inside, outside = keys.where("on = 1").select("key"), keys.where("on = 0").select("key")
     levels: list[tuple[DataFrame, int]] = []
     while True:
         n = inside.count()
         if n == 0:
             return Cascade(levels)
-        if n > LARGEST:
+        if n > largest:
             return None
         words = -(-n * BITS_PER_KEY // 64)
         level = len(levels)
@@ -90,8 +99,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame, shelf: Shelf) -> Casca
         inside, outside = shelf.put(outside.where(Cascade(levels).holds(F.col("key"), level))), inside
 
 
-def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], shelf: Shelf, url_col: str = "url") -> DataFrame:
-    """`pages` with a struct `judged`: host, path, rule, verdict.
+def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], shelf: Shelf, url_col: str = "url", largest: int = LARGEST) -> DataFrame:
+    """`pages` with a struct `judged` (with underscores added where that name is taken): host, path, rule, verdict.
 
     listed: a column `key` of host + path strings to block, exact. The longest fitting rule decides; without one,
     a listed page is blocked, any other allowed. Null urls and urls without `://` have empty host and path and
@@ -100,14 +109,38 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     host, path = host_and_path(F.col(url_col))
     named = pages.select(F.struct(*pages.columns).alias("row"), host.alias("host"), path.alias("path"))
     named = named.withColumn("key", F.concat("host", "path"))
-    cascade = build_cascade(listed, named.select("key"), shelf)
-    if cascade is None:
-        hits = listed.select("key", F.lit(True).alias("hit")).where("key is not null").distinct()
-        named = named.join(hits, "key", "left")
-        on_list = F.coalesce("hit", F.lit(False))
-    else:
-        on_list = cascade.listed(F.col("key"))
+    keys = marked_keys(listed, named, shelf)
+    cascade = build_cascade(keys, shelf, largest)
+    if cascade is not None:
+        return _verdicts(named, cascade, rules)
+    blocks, parts = -(-keys.where("on = 1").count() // largest), None
+    while parts is None:
+        blocks *= 2  # as hashes are even, a block then has half the keys
+        parts = _by_block(named, keys, blocks, rules, shelf, largest)
+    return parts
+
+
+def _by_block(named: DataFrame, keys: DataFrame, blocks: int, rules: list[tuple[str, str, str]], shelf: Shelf, largest: int) -> DataFrame | None:
+    """The rows judged block by block, each read from a folder of its own; null where a level of a block is too large."""
+    split = shelf.put(keys.withColumn("block", block_of(F.col("key"), blocks)), by="block")
+    cascades = []
+    for block in range(blocks):
+        cascade = build_cascade(split.where(F.col("block") == block), shelf, largest)
+        if cascade is None:
+            return None
+        cascades.append(cascade)
+    rows = shelf.put(named.withColumn("block", block_of(F.col("key"), blocks)), by="block")
+    # Written one by one, so that the scalars of one block at a time are in memory.
+    done = [shelf.put(_verdicts(rows.where(F.col("block") == block), cascade, rules)) for block, cascade in enumerate(cascades)]
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.union(part)
+    return whole
+
+
+def _verdicts(named: DataFrame, cascade: Cascade, rules: list[tuple[str, str, str]]) -> DataFrame:
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
-    verdict = F.coalesce(verdict, F.when(on_list, F.lit("block")).otherwise(F.lit("allow")))
+    verdict = F.coalesce(verdict, F.when(cascade.listed(F.col("key")), F.lit("block")).otherwise(F.lit("allow")))
     judged = F.struct("host", "path", rule.alias("rule"), verdict.alias("verdict")).alias("judged")
-    return named.select("row", judged).select("row.*", "judged")
+    into = free("judged", named.select("row.*"))
+    return named.select("row", judged).select("row.*", F.col("judged").alias(into))

@@ -201,20 +201,31 @@ def test_chat_round_trip_of_hostile_texts(spark):
 def test_cascade_is_exact_over_its_universe(spark, shelf):
     universe = spark.range(6000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = spark.range(0, 6000, 7).select(F.concat(F.lit("k"), "id").alias("key"))
-    cascade = urls.build_cascade(listed.union(spark.createDataFrame([(None,)], "key string")), universe, shelf)
+    cascade = urls.build_cascade(urls.marked_keys(listed.union(spark.createDataFrame([(None,)], "key string")), universe, shelf), shelf, 1000)
     got = universe.where(cascade.listed(F.col("key"))).count()
     assert got == listed.count() == universe.where(cascade.listed(F.col("key"))).join(listed, "key").count() and len(cascade.levels) > 1
-    assert universe.where(urls.build_cascade(listed.limit(0), universe, shelf).listed(F.col("key"))).count() == 0
+    assert universe.where(urls.build_cascade(urls.marked_keys(listed.limit(0), universe, shelf), shelf, 1000).listed(F.col("key"))).count() == 0
+    assert urls.build_cascade(urls.marked_keys(listed, universe, shelf), shelf, 100) is None
 
 
-def test_urls_of_any_form(spark, shelf, monkeypatch):
+def test_urls_of_any_form(spark, shelf):
     rows = [(1, None, 0), (2, "no scheme", 0), (3, "x://A.Com/en/1?q", 0), (4, "x://a.com", 0), (5, "x://bad.io/p#f", 0), (6, "x://bad.io/q", 0), (7, "", 0), (7, "", 0)]
     pages = spark.createDataFrame(rows, "page_id int, url string, host int")
     listed = spark.createDataFrame([("bad.io/p",)], "key string")
-    for largest in (urls.LARGEST, 0):
-        monkeypatch.setattr(urls, "LARGEST", largest)  # the join beyond the bound gives the same
-        got = {r.page_id: tuple(r.judged) for r in urls.judge(pages, listed, [("com", "/en/", "block")], shelf).collect()}
+    for largest in (urls.LARGEST, 1):
+        got = {r.page_id: tuple(r.judged) for r in urls.judge(pages, listed, [("com", "/en/", "block")], shelf, largest=largest).collect()}
         assert got == {1: ("", "", None, "allow"), 2: ("", "", None, "allow"), 3: ("a.com", "/en/1", "com/en/", "block"), 4: ("a.com", "", None, "allow"), 5: ("bad.io", "/p", None, "block"), 6: ("bad.io", "/q", None, "allow"), 7: ("", "", None, "allow")}
+    assert urls.judge(pages.limit(0), listed, [], shelf).count() == 0
+
+
+def test_urls_in_blocks(spark, shelf):
+    pages = spark.range(900).select((F.col("id") % 800).alias("page_id"), F.concat(F.lit("http://h.org/"), F.col("id") % 800).alias("url"), F.lit(1).alias("judged"), F.lit("x").alias("block"))
+    listed = spark.range(0, 800, 9).select(F.concat(F.lit("h.org/"), "id").alias("key"))
+    got = urls.judge(pages, listed, [], shelf, largest=30)
+    assert got.columns == ["page_id", "url", "judged", "block", "judged_"]
+    told = got.select("page_id", "block", "judged_.verdict").collect()
+    assert sorted((r.page_id, r.verdict) for r in told) == sorted((i % 800, "block" if i % 800 % 9 == 0 else "allow") for i in range(900))
+    assert {r.block for r in told} == {"x"}
 
 
 def test_licenses(docs, nothing, shelf):
