@@ -467,6 +467,24 @@ _sql(
     SELECT page_id, CASE WHEN list_position(cells, 'the') > 0 THEN cells[list_position(cells, 'the') + 1] END AS cell FROM c""",
     prelude=False,
 )
+_LABELS = ("the", "de", "in", "was", "los")
+_sql(
+    "src9_cells_by_label",
+    r"""WITH c AS (SELECT page_id, [trim(regexp_replace(x, '<[^>]*>', '', 'g')) FOR x IN regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1)] AS cells FROM pages),
+    """ + "a AS (SELECT page_id, " + ", ".join(f"CASE WHEN list_position(cells, '{x}') > 0 THEN cells[list_position(cells, '{x}') + 1] END AS after_{x}" for x in _LABELS)
+    + " FROM c) SELECT * FROM a WHERE coalesce(" + ", ".join(f"after_{x}" for x in _LABELS) + ") IS NOT NULL",
+    prelude=False,
+)
+_INFORMAL = sorted(K.INFORMAL_SECTORS)
+_sql(
+    "join9_informal_sectors",
+    f"""WITH m(informal_sector, sector) AS (VALUES {', '.join(f"('{k}', '{v}')" for k, v in K.INFORMAL_SECTORS.items())}),
+    f(sector, median_pe) AS (VALUES {', '.join(f"('{k}', {v}::DOUBLE)" for k, v in K.SECTOR_MEDIAN_PE.items())}),
+    p AS (SELECT {[*_INFORMAL, 'shipbuilding']}[p_partkey % {len(_INFORMAL) + 1} + 1] AS informal_sector FROM part)
+    SELECT p.informal_sector, m.sector, f.median_pe, CASE WHEN m.sector IS NOT NULL THEN m.sector IN ({', '.join(f"'{x}'" for x in K.ASSET_HEAVY_SECTORS)}) END AS asset_heavy, count(*) AS n
+    FROM p LEFT JOIN m USING (informal_sector) LEFT JOIN f ON f.sector = m.sector GROUP BY ALL""",
+    prelude=False,
+)
 _sql(
     "src10_preferred_metric",
     f"SELECT ticker, CASE WHEN entity_key % 5 = 0 THEN 'Basic EPS' ELSE 'Diluted EPS' END AS metric, period_end::VARCHAR AS period_end, {_r('value')} AS value FROM eps_q",

@@ -18,7 +18,7 @@ from newsquake.plans import calibrate, convert, evaluate, jobs, label, report, r
 from newsquake.session import settled, work_folder
 from newsquake.sources import stored
 from newsquake.sources.store import RowStore
-from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table
+from newsquake.sources.tables import FEED_END, FEED_WEEKS, Tables, sector_table, with_formal_sector
 from newsquake.streaming import feed as arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +181,26 @@ def _(t):
     return pages.select("page_id", text.cell_after_label(F.col("html"), "the", "li").alias("cell"))
 
 
+CELL_LABELS = ("the", "de", "in", "was", "los")
+
+
+@query("src9_cells_by_label")
+def _(t):
+    pages = t.read("pages")
+    cells = pages.select("page_id", *[text.cell_after_label(F.col("html"), label, "li").alias(f"after_{label}") for label in CELL_LABELS])
+    return cells.where(F.coalesce(*[F.col(f"after_{label}") for label in CELL_LABELS]).isNotNull())
+
+
+@query("join9_informal_sectors")
+def _(t):
+    # Each part stands for a company of which only an informal sector is known.
+    names = sorted(K.INFORMAL_SECTORS)
+    informal = F.element_at(F.array(*[F.lit(n) for n in [*names, "shipbuilding"]]), (F.col("p_partkey") % (len(names) + 1) + 1).cast("int"))
+    parts = t.read("part").select("p_partkey", informal.alias("informal_sector"))
+    known = with_formal_sector(parts).join(t.sectors, "sector", "left")
+    return known.groupBy("informal_sector", "sector", "median_pe", "asset_heavy").agg(_count().alias("n"))
+
+
 @query("src10_preferred_metric")
 def _(t):
     eps = value.preferred_metric(t.quarterly, K.EPS_METRICS)

@@ -60,12 +60,6 @@ def text_gap(gap_pct: Column) -> Column:
     return F.when(F.abs(gap_pct) >= 1.0, F.when(gap_pct >= 0, magnitude).otherwise(-magnitude))
 
 
-def fusion_table(spark) -> DataFrame:
-    return spark.createDataFrame(
-        K.FUSION_ROWS, "news_reaction string, valuation_bucket string, recommendation string, base_confidence double"
-    )
-
-
 def _fusion_lookup(part: str) -> Column:
     """The fusion table as one constant map from 'reaction|bucket'."""
     index = {"recommendation": 2, "confidence": 3}[part]

@@ -144,12 +144,53 @@ def parse_generated_text(text: Column) -> Column:
     )
 
 
+# Comments, scripts and styles are one token each and count for nothing; a '>' inside quotes ends no tag.
+_MARKUP = r"""(?is)<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)|</?[a-z](?:"[^"]*"|'[^']*'|[^'">]++)*+>|[^<]+|<"""
+
+
 def cell_after_label(html: Column, label: str, tag: str = "td") -> Column:
-    """Text of the cell that follows the first cell holding exactly the label; null when absent or the last."""
-    cells = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-    plain = F.transform(cells, lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>", "")))
-    position = F.array_position(plain, label)
-    return F.when(position > 0, F.try_element_at(plain, (position + 1).cast("int")))
+    """Text of the cell that follows the first cell holding exactly the label; null when absent or the last.
+
+    The page is cut into tags and texts, which are walked once with the cells open at that point. A cell's text is all
+    text inside, each piece stripped, with that of cells nested in it; the cell that follows is the first one opened
+    after the label's was closed. A cell that is never closed reaches to the end of the page.
+    """
+    tokens = F.regexp_extract_all(html, F.lit(_MARKUP), F.lit(0))
+    cell = "struct<text: string, wanted: boolean>"
+    start = F.struct(
+        F.array().cast(f"array<{cell}>").alias("open"), F.lit(False).alias("found"), F.lit(False).alias("taken"), F.lit(None).cast("string").alias("answer")
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        top = F.try_element_at(state["open"], F.lit(-1))
+        wanted = state["found"] & ~state["taken"]
+        opened = F.struct(
+            F.array_append(state["open"], F.struct(F.lit("").alias("text"), wanted.alias("wanted"))).alias("open"),
+            state["found"].alias("found"), (state["taken"] | wanted).alias("taken"), state["answer"].alias("answer"),
+        )
+        closed = F.struct(
+            F.slice(state["open"], 1, F.greatest(F.size(state["open"]) - 1, F.lit(0))).alias("open"),
+            (state["found"] | F.coalesce(top["text"] == label, F.lit(False))).alias("found"),
+            state["taken"].alias("taken"),
+            F.when(F.coalesce(top["wanted"], F.lit(False)), top["text"]).otherwise(state["answer"]).alias("answer"),
+        )
+        plain = F.regexp_replace(token, r"(?U)^\s+|\s+$", "")
+        heard = F.struct(
+            F.transform(state["open"], lambda c: F.struct(F.concat(c["text"], plain).alias("text"), c["wanted"].alias("wanted"))).alias("open"),
+            state["found"].alias("found"), state["taken"].alias("taken"), state["answer"].alias("answer"),
+        )
+        return (
+            F.when(token.rlike(rf"(?i)^<{tag}(?![a-z0-9-])"), opened)
+            .when(token.rlike(rf"(?i)^</{tag}(?![a-z0-9-])"), closed)
+            .when(token.rlike(r"(?i)^<(?:[/a-z]|!--)"), state)
+            .otherwise(heard)
+        )
+
+    def answer(state: Column) -> Column:
+        unclosed = F.filter(state["open"], lambda c: c["wanted"])
+        return F.coalesce(state["answer"], F.try_element_at(unclosed, F.lit(1))["text"])
+
+    return F.aggregate(tokens, start, step, answer)
 
 
 def percent_to_fraction(cell: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsquake import constants as K
-from newsquake.functions.reaction import classify_reaction, retraced
+from newsquake.functions.reaction import retraced
 from newsquake.operators.ranking import nearest_rank
 from newsquake.plans.label import measure_days
 
@@ -118,19 +118,3 @@ def grid_counts(samples: DataFrame) -> DataFrame:
         "passes",
         F.col("overreaction_share").between(*K.OVERREACTION_BAND) & F.col("neutral_share").between(*K.NEUTRAL_BAND),
     )
-
-
-def grid_counts_direct(samples: DataFrame) -> DataFrame:
-    """The same counts by labelling every sample under every cell; only to check the above on small data."""
-    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(z).alias("z")) for x, y, z in _grid()]))
-    label = classify_reaction(
-        F.col("move_1d"), F.col("move_21d"), F.col("assessable"), F.col("c.x"), F.col("c.y"), F.col("c.z")
-    )
-    expanded = usable_samples(samples).withColumn("c", cells).select("c.*", label.alias("label"))
-    return expanded.groupBy("x", "y", "z").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("label") == name).alias(name) for name in K.REACTIONS]
-    )
-
-
-def passing_cells(grid: DataFrame) -> DataFrame:
-    return grid.where("passes").select("x", "y", "z")

@@ -88,11 +88,6 @@ def trailing_eps(quarterly: DataFrame) -> DataFrame:
     return quarter_facts(quarterly).where(F.col("kind") == "eps").select("ticker", "period_end", "eps_ttm")
 
 
-def revenue_with_year_ago(quarterly: DataFrame) -> DataFrame:
-    """(ticker, period_end, revenue, year_ago)."""
-    return quarter_facts(quarterly).where(F.col("kind") == "revenue").select("ticker", "period_end", "revenue", "year_ago")
-
-
 def fact_lookups(prices: DataFrame, quarterly: DataFrame, earnings: DataFrame) -> list[AsOf]:
     """Price, trailing EPS, revenue, last report and next report as known on a date."""
     quarters = quarter_facts(quarterly)

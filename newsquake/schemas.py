@@ -8,7 +8,4 @@ ROW_FIELDS = (
 )
 ROW = T.StructType([T.StructField(name, T.StringType()) for name in ROW_FIELDS])
 
-OLD_ROW = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("ticker", "user_query", "market_data", "valuation", "earnings", "news", "output")]
-)
 OLD_OUTPUT = "struct<impacted_stocks: array<struct<recommendation: string, reasoning: string, answer: string>>>"

@@ -26,6 +26,15 @@ FEED_WEEKS = 400
 _SCHEMAS: dict[str, StructType] = {}
 
 
+def with_formal_sector(df: DataFrame, informal: str = "informal_sector", sector: str = "sector") -> DataFrame:
+    """The formal sector an informal name belongs to, in any case and around blanks; null for unknown names.
+
+    The names are a fixed list, so the lookup is one constant map and rows stay where they are.
+    """
+    known = F.create_map(*[F.lit(x) for pair in K.INFORMAL_SECTORS.items() for x in pair])
+    return df.withColumn(sector, F.element_at(known, F.lower(F.trim(F.col(informal)))))
+
+
 def sector_table(spark: SparkSession) -> DataFrame:
     """One row per known sector: median P/E, asset-heavy and REIT flags, keyword pattern."""
     names = sorted({*K.SECTOR_MEDIAN_PE, *K.SECTOR_KEYWORDS, *K.ASSET_HEAVY_SECTORS, *K.REIT_SECTORS})

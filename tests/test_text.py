@@ -144,6 +144,24 @@ def test_cell_after_label(spark):
     assert {r["ticker"]: r["eps_growth_5y"] for r in df.collect()} == {"A": 0.0315, "B": None, "C": None, "D": None, "E": None}
 
 
+def test_cells_of_awkward_pages(spark):
+    cases = [
+        ("<td>x<table><tr><td>L</td><td>in</td></tr></table></td><td>out</td>", "in"),
+        ("<td><table><tr><td>k</td></tr></table></td><td>L</td><td>a<table><tr><td> b </td></tr></table>c</td>", "abc"),
+        ("<td title='a > b'>L</td><TD data-x=\"1>2\">v</TD >", "v"),
+        ("<!-- <td>L</td><td>no</td> --><td>L</td><!-- <td>no</td> --><td>yes<!-- > --></td>", "yes"),
+        ("<script>var a = '<td>L</td><td>no</td>';</script><td>L</td><td>1<style>td{}</style>2</td>", "12"),
+        ("<td>L</td><tdx>no</tdx><td-y>no</td-y><td>v</td>", "v"),
+        ("<td>L</td><td>v</td><td>L</td><td>w</td>", "v"),
+        ("<td>L</td><td>a < b</td>", "a<b"),
+        ("<td>L</td><td></td>", ""),
+        ("</td></td><td>L</td><td>open", "open"),
+        ("<td>L", None), ("<td>LL</td><td>v</td>", None), ("", None), (None, None),
+        ("<td>L</td>" + "<p>x</p>" * 3000 + "<td>far</td>", "far"),
+    ]
+    assert verdicts(spark, [c[0] for c in cases], lambda c: text.cell_after_label(c, "L")) == [c[1] for c in cases]
+
+
 def test_json_and_fields(spark):
     values = ['{"a": 1}', 'x {"a": {"b": 2}} y', '{"a": 1} then {"b": 2}', "none", "}{", '{"a": 1,}', "{'a': 1}", None]
     assert verdicts(spark, values, text.is_valid_json) == [True, True, False, False, False, False, False, False]
