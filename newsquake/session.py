@@ -12,6 +12,11 @@ DEFAULT_SALTS = 16
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Recording a call site for every column costs several round trips each; long plans feel it.
 DEBUGGING_CONF = "spark.python.sql.dataFrameDebugging.enabled"
+# State of streams on local disks; each batch uploads its changes, not the whole state.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "newsquake", **conf: str) -> SparkSession:
@@ -24,6 +29,8 @@ def build_session(app: str = "newsquake", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config(DEBUGGING_CONF, "false")
     )
+    for key, value in STATE_CONF.items():
+        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
