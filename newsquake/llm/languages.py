@@ -16,14 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsquake.llm.common import Shelf
 from newsquake.llm.urls import host_and_path
 
 SAMPLE = 300  # documents of each language at most
-TRIPLES = 20_000  # most frequent ones of the sample; bounds the model
+TRIPLES = 10_000  # most frequent ones of each language's sample; bounds the model to so many rows per language
 TEMPER = 0.1  # overlapping triples repeat each other's evidence
 STRENGTH = 20.0  # pages' worth that the level above counts in a prior
 FAITH = 2.0  # pages' worth of belief that the declared language is the true one
@@ -41,25 +41,35 @@ def triples(text: str) -> Counter:
 
 
 def fit_text(docs: DataFrame, shelf: Shelf, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE) -> tuple[list[str], dict[str, np.ndarray]]:
-    """(languages, log probability of each triple by language), from the first `sample` documents of each language by a hash."""
+    """(languages, log probability of each triple by language), from the first `sample` documents of each language by a
+    hash of the id. Of documents with one id and language the greatest text counts; rows that repeat an id share its place.
+
+    A triple among the `TRIPLES` most frequent of any language has a probability in all of them, so a language with
+    little text keeps its model. Without labelled documents there is one language, "und", and no triple.
+    """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    languages = sorted(r[0] for r in known.select(lang_col).distinct().collect())  # a handful of language codes
-    parts = [known.where(F.col(lang_col) == code).select(F.lit(code).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("order")).orderBy("order").limit(sample) for code in languages]
-    if not parts:
+    known = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # Ids are ranked without their texts, and Spark keeps the first of each language on the map side already.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    ids = known.select("lang", "id").withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).select("lang", "id").distinct()
+    ids = shelf.put(ids)
+    languages = sorted(r[0] for r in ids.select("lang").distinct().collect())  # a handful of language codes
+    if not languages:
         return ["und"], {}
-    chosen = parts[0]
-    for p in parts[1:]:
-        chosen = chosen.union(p)
+    rows = F.broadcast(ids.select(F.col("lang").alias("l"), F.col("id").alias("i")))  # `sample` ids of each language at most
+    found = known.join(rows, (F.col("lang") == F.col("l")) & F.col("id").eqNullSafe(F.col("i"))).drop("l", "i")
+    chosen = shelf.put(found.groupBy("lang", "id").agg(F.max("text").alias("text")))
 
     @F.pandas_udf("array<struct<triple:string,n:bigint>>")
     def counted(texts: pd.Series) -> pd.Series:
         return pd.Series([[(t, n) for t, n in triples(x).items()] for x in texts])
 
-    rows = chosen.select("lang", F.explode(counted("text")).alias("t")).groupBy("lang", "t.triple").agg(F.sum("t.n").alias("n"))
-    rows = shelf.put(rows)
-    most = rows.groupBy("triple").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "triple").limit(TRIPLES)
+    counts = chosen.select("lang", F.explode(counted("text")).alias("t")).groupBy("lang", "t.triple").agg(F.sum("t.n").alias("n"))
+    counts = shelf.put(counts)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "triple"))
+    most = counts.withColumn("rank", rank).where(F.col("rank") <= TRIPLES).select("triple").distinct()
     table = {}
-    for r in rows.join(most, "triple").select("triple", "lang", "n").collect():
+    for r in counts.join(most, "triple").select("triple", "lang", "n").collect():
         table.setdefault(r.triple, np.full(len(languages), 0.5))[languages.index(r.lang)] += r.n
     totals = sum(table.values(), np.zeros(len(languages))) + 0.5
     return languages, {t: np.log(n / totals) for t, n in table.items()}
