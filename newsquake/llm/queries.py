@@ -72,7 +72,7 @@ def op4_mixing_sources(spark: SparkSession, directory: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     chain = train(docs, table(spark, directory, "labels"), Shelf(spark, "toxicity"))
-    return score(docs, chain).select("doc_id", "scores.p_insult", "scores.p_demeaning", "scores.p_toxic", "scores.toxic", (~F.col("scores.toxic")).alias("kept"))
+    return score(docs, chain).select("doc_id", "scores.p_kind_a", "scores.p_kind_b", "scores.p_toxic", "scores.toxic", (~F.col("scores.toxic")).alias("kept"))
 
 
 @query

@@ -5,6 +5,9 @@ Training uses a bounded sample of the labelled rows. The probabilities that late
 on are out of fold: each comes from a model that did not see the row, as a fitted model is too sure of its own
 training rows. The final models are then fitted on the whole sample.
 
+The labels know one category only. The two finer ones come from the sample: its telling toxic words are split into
+two groups that occur apart from each other, and a toxic row belongs to each group it has a word of.
+
 Spark picks the sample, counts its words per class and keeps the most telling ones; the fits, a few megabytes,
 run on the driver. Scoring is one scan of the texts.
 """
@@ -22,10 +25,7 @@ from pyspark.sql import functions as F
 from newsquake.llm.automaton import words_of
 from newsquake.llm.common import LETTER_WORD, Shelf, free, lower_ascii
 
-# Words of the two finer categories, whose labels in the sample they give.
-INSULTS = ("clown", "idiot", "loser", "moron", "scum")
-DEMEANING = ("disgusting", "pathetic", "stupid", "trash", "worthless")
-CATEGORIES = ("insult", "demeaning", "toxic")
+CATEGORIES = ("kind_a", "kind_b", "toxic")  # two kinds of toxic words that occur apart, then the label itself
 
 SAMPLE = 2000  # labelled rows of each class at most; the classifier sees no more
 FEATURES = 1024  # words and beginnings at most
@@ -94,6 +94,36 @@ def fit_chain(words: list[str], x: np.ndarray, labels: np.ndarray, fold: np.ndar
     return chain
 
 
+def split_words(words: list[str], x: np.ndarray, toxic: np.ndarray) -> tuple[list[int], list[int]]:
+    """Places of the telling toxic words in two groups; x is rows by words, words marked by a star are beginnings.
+
+    A word is toxic if it stands in more of the toxic rows than of the others. The one in most toxic rows leads the
+    first group, and the one that meets it least in toxic rows, against what chance gives, leads the second. Every
+    other word joins the leader it meets more, against chance; if equal, the smaller group, then the first. Ties
+    between words go to the first in order. With fewer than two toxic words the second group is empty.
+    """
+    bad, good = x[toxic == 1].astype(np.float64), x[toxic != 1]
+    if not len(bad) or not len(good):
+        return [], []
+    share = bad.mean(axis=0)
+    own = [i for i, w in enumerate(words) if not w.endswith("*") and share[i] > good[:, i].mean()]
+    own.sort(key=lambda i: -share[i])
+    if len(own) < 2:
+        return own, []
+
+    def meets(i: int, j: int) -> float:
+        return float((bad[:, i] * bad[:, j]).mean() / (share[i] * share[j]))
+
+    first = own[0]
+    second = min(own[1:], key=lambda i: meets(first, i))
+    groups: tuple[list[int], list[int]] = ([first], [second])
+    for i in own:
+        if i not in (first, second):
+            a, b = meets(first, i), meets(second, i)
+            groups[int(b > a or (a == b and len(groups[1]) < len(groups[0])))].append(i)
+    return groups
+
+
 def _beginning(n: int):
     return lambda word: F.concat(F.substring(word, 1, n), F.lit("*"))
 
@@ -132,18 +162,18 @@ def train(docs: DataFrame, labels: DataFrame, shelf: Shelf, id_col: str = "doc_i
     told = counted.where(telling).select("word", score.alias("score")).where(F.col("score") >= LEAST_SCORE).orderBy(F.desc("score"), "word").limit(FEATURES)
     words = sorted(r.word for r in told.collect())
     place = {w: i for i, w in enumerate(words)}
-    lists = [F.array(*[F.lit(w) for w in c]) for c in (INSULTS, DEMEANING)]
     wanted = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    kept = bags.select("id", "label", F.array_intersect("words", wanted).alias("words"), *[F.arrays_overlap("words", c).cast("int").alias(n) for c, n in zip(lists, CATEGORIES)]).orderBy("id").collect()
+    kept = bags.select("id", "label", F.array_intersect("words", wanted).alias("words")).orderBy("id").collect()
     x = np.zeros((len(kept), len(words)), np.float32)
     for i, r in enumerate(kept):
         x[i, [place[w] for w in r.words]] = 1
-    y = np.array([[r.insult and r.label, r.demeaning and r.label, r.label] for r in kept], np.float64)
+    toxic = np.array([r.label for r in kept], np.float64)
+    y = np.stack([*[toxic * x[:, group].any(axis=1) for group in split_words(words, x, toxic)], toxic], axis=1)
     return fit_chain(words, x, y, np.arange(len(kept)) % FOLDS)
 
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text", into: str = "scores") -> DataFrame:
-    """`docs` with a struct of probabilities p_insult, p_demeaning, p_toxic and toxic (the last reaches the limit).
+    """`docs` with a struct of probabilities p_kind_a, p_kind_b, p_toxic and toxic (the last reaches the limit).
 
     Whole texts count; null and empty texts have no words and get the intercepts' probabilities, not toxic.
     Other columns pass through.
