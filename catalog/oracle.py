@@ -824,6 +824,10 @@ _sql(
     f"""SELECT x, y, z, n, {", ".join(K.REACTIONS)}, {_r(_OVER)} AS overreaction_share, {_r('neutral / n::DOUBLE')} AS neutral_share,
     {_OVER} BETWEEN 0.05 AND 0.12 AND neutral / n::DOUBLE BETWEEN 0.25 AND 0.45 AS passes FROM grid""",
 )
+_sql(
+    "agg6_cells_in_wide_bands",
+    f"SELECT x, y, z, {_OVER} >= 0.05 AND {_OVER} <= 0.185 AND neutral / n::DOUBLE >= 0.008 AND neutral / n::DOUBLE <= 0.45 AS passes FROM grid",
+)
 _sql(
     "agg4_retracements",
     f"""SELECT ticker, CASE WHEN move_1d < 0 THEN 'down' ELSE 'up' END AS side, count(*) AS n,
@@ -854,6 +858,10 @@ _sql(
     f"""SELECT model, sum(total)::BIGINT AS total, sum(correct)::BIGINT AS correct, count(*) AS cells, {_r('min(correct / total::DOUBLE)')} AS worst_cell,
     {_r('sum(correct)::DOUBLE / sum(total)::DOUBLE')} AS agreement, sum(correct)::DOUBLE / sum(total)::DOUBLE >= 0.9 AS ships FROM {_CELLS} GROUP BY 1""",
 )
+_sql(
+    "agg14_low_ship_gate",
+    f"SELECT model, {_r('avg(correct::INT)')} AS agreement, avg(correct::INT) >= 0.275 AS ships FROM marked WHERE task = 'analysis' GROUP BY 1",
+)
 _sql(
     "agg15_running_accuracy",
     f"""SELECT model, i::BIGINT AS i, {_r('hits / i::DOUBLE')} AS accuracy FROM (SELECT model, row_number() OVER w AS i, sum(correct::INT) OVER w AS hits

@@ -618,6 +618,16 @@ def _(t):
     return grid.select("x", "y", "z", "n", *K.REACTIONS, _r("overreaction_share").alias("overreaction_share"), _r("neutral_share").alias("neutral_share"), "passes")
 
 
+# Bands and gate that some of the sample's cells and models meet and others miss.
+WIDE_BANDS = {"overreaction_band": (0.05, 0.185), "neutral_band": (0.008, 0.45)}
+LOW_GATE = 0.275
+
+
+@query("agg6_cells_in_wide_bands")
+def _(t):
+    return calibrate.grid_counts(_samples(t), **WIDE_BANDS).select("x", "y", "z", "passes")
+
+
 @query("agg4_retracements")
 def _(t):
     usable = _labels(t).where(F.col("assessable") & F.col("move_21d").isNotNull() & (F.abs("move_1d") >= min(K.Y_CANDIDATES)))
@@ -657,6 +667,11 @@ def _(t):
     return evaluate.ship_gate(_scored(t)).select("model", "total", "correct", "cells", _r("worst_cell").alias("worst_cell"), _r("agreement").alias("agreement"), "ships")
 
 
+@query("agg14_low_ship_gate")
+def _(t):
+    return evaluate.ship_gate(_scored(t), LOW_GATE).select("model", _r("agreement").alias("agreement"), "ships")
+
+
 @query("agg15_running_accuracy")
 def _(t):
     return evaluate.running_accuracy(_scored(t)).select("model", F.col("i").cast("long").alias("i"), _r("accuracy").alias("accuracy"))

@@ -71,8 +71,12 @@ def _step(value: Column, edges) -> Column:
     return total
 
 
-def grid_counts(samples: DataFrame) -> DataFrame:
-    """Class counts and fractions per (x, y, z), with the acceptance verdict.
+def grid_counts(
+    samples: DataFrame,
+    overreaction_band: tuple[float, float] = K.OVERREACTION_BAND,
+    neutral_band: tuple[float, float] = K.NEUTRAL_BAND,
+) -> DataFrame:
+    """Class counts and fractions per (x, y, z), with the acceptance verdict: both shares within their bands, ends included.
 
     A label depends only on the sign of the move and on which candidate thresholds it reaches. The
     samples are counted per such combination first, at most a few hundred groups whatever their
@@ -116,5 +120,5 @@ def grid_counts(samples: DataFrame) -> DataFrame:
         {"overreaction_share": over_share, "neutral_share": F.col("neutral") / F.col("n")}
     ).withColumn(
         "passes",
-        F.col("overreaction_share").between(*K.OVERREACTION_BAND) & F.col("neutral_share").between(*K.NEUTRAL_BAND),
+        F.col("overreaction_share").between(*overreaction_band) & F.col("neutral_share").between(*neutral_band),
     )
