@@ -23,9 +23,11 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; one of our own only where the session names none."""
+    """The folder all executors see; a local session that names none gets one of its own, a cluster has to name it."""
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsquake-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
