@@ -1007,6 +1007,16 @@ _sql(
     "prj4_template_row_counts",
     f"SELECT t.task, {_SPLIT} AS split, news_reaction, count(*) AS n FROM filled CROSS JOIN (VALUES ('reaction'), ('analysis')) AS t(task) GROUP BY 1, 2, 3",
 )
+_sql(
+    "set2_merged_pools",
+    """SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY place) - 1 AS idx, headline, n_reasonings FROM (
+      SELECT pool, 2 * (row_number() OVER (PARTITION BY pool ORDER BY p_partkey) - 1) AS place, headline, n_reasonings FROM (
+        SELECT ['good', 'bad', 'neutral', 'overreaction_down', 'overreaction_up'][p_partkey % 5 + 1] AS pool, p_partkey,
+          '{name} ({ticker}) updates its ' || p_name || ' line' AS headline, 2::BIGINT AS n_reasonings FROM part)
+      UNION ALL SELECT CASE WHEN p_partkey % 3 < 2 THEN 'neutral' WHEN p_size % 2 = 0 THEN 'good' ELSE 'bad' END, 2 * p_partkey + 1,
+        '{name} ({ticker}) reviews its ' || p_name || ' line', 1 FROM part)""",
+    prelude=False,
+)
 _sql(
     "str1_weekly_counts",
     """SELECT event_type AS ticker, strftime(TIMESTAMP '1970-01-01' + to_days((7 * floor(epoch(ts) / 604800))::INT), '%Y-%m-%d %H:%M:%S') AS after, count(*) AS n

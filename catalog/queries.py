@@ -896,6 +896,15 @@ def _(t):
     return done.groupBy("task", "split", "news_reaction").agg(_count().alias("n"))
 
 
+@query("set2_merged_pools")
+def _(t):
+    # Each table keeps its order; templates of both alternate where their numbers are alike.
+    own = t.template_pools.select("pool", (F.col("idx").cast("long") * 2).alias("order_key"), "headlines", "reasonings")
+    moved = t.tiered_templates.select(template.pool_of(F.col("direction"), F.col("tier")).alias("pool"), (F.col("order_key") * 2 + 1).alias("order_key"), "headlines", "reasonings")
+    merged = template.merge_pools(own, moved)
+    return merged.select("pool", F.col("idx").cast("long").alias("idx"), F.element_at("headlines", 1).alias("headline"), F.size("reasonings").cast("long").alias("n_reasonings"))
+
+
 @query("str1_weekly_counts")
 def _(t):
     arrivals = t.read("events").select(F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("published_at"))

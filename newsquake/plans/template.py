@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsquake import constants as K
@@ -22,13 +22,12 @@ def pool_of(direction: Column, tier: Column) -> Column:
 
 
 def merge_pools(*pools: DataFrame) -> DataFrame:
-    """Union of (pool, order_key, headlines, reasonings) tables, numbered from 0 within each pool."""
+    """Union of (pool, order_key, headlines, reasonings) tables, numbered from 0 within each pool; order keys differ within a pool."""
     merged = pools[0]
     for pool in pools[1:]:
         merged = merged.unionByName(pool)
-    # A pool is a list of hand-made templates; its size does not follow the data.
-    place = F.row_number().over(Window.partitionBy("pool").orderBy("order_key")) - 1
-    return merged.withColumn("idx", place)
+    numbered = running_totals(merged, ["pool"], "order_key", [])  # no pool is ordered in one task
+    return numbered.withColumn("idx", F.col("running_n").cast("int") - 1).drop("running_n")
 
 
 def holdout_indices(pools: DataFrame, fraction: float = K.HOLDOUT_FRACTION) -> DataFrame:

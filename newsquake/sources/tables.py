@@ -329,6 +329,18 @@ class Tables:
         )
         return running_totals(parts, ["pool"], "order_key", []).withColumn("idx", F.col("running_n").cast("int") - 1).drop("running_n")
 
+    @cached_property
+    def tiered_templates(self) -> DataFrame:
+        """(tier, direction, order_key, headlines, reasonings): templates that name no reaction, one per part."""
+        tiers = F.array(*[F.lit(n) for n in ("extreme_alone", "moderate_alone", "extreme_pair")])
+        headline = F.concat(F.lit("{name} ({ticker}) reviews its "), F.col("p_name"), F.lit(" line"))
+        return self.read("part").select(
+            F.element_at(tiers, (F.col("p_partkey") % 3).cast("int") + 1).alias("tier"),
+            F.when(F.col("p_size") % 2 == 0, "BUY").otherwise("SELL").alias("direction"),
+            F.col("p_partkey").alias("order_key"),
+            F.array(headline).alias("headlines"), F.array(F.lit("{ticker} gave no reason.")).alias("reasonings"),
+        )
+
     @cached_property
     def sector_news(self) -> DataFrame:
         """(sector, good_headline, bad_headline, good_reasoning, bad_reasoning) for the two sectors that have any."""

@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 CHOSEN = [
     "flt5_6_name_needles", "flt11_selected_headlines", "win4_first_seen_titles", "join3_bars_to_event", "fn1_to_3_labelled_headlines",
     "fn6_to_18_valuation", "agg2_price_percentiles", "agg10_accuracy", "agg15_running_accuracy", "join16_agg5_6_threshold_grid",
-    "win11_eval_sample", "fn18_exact_decimal_text", "str1_weekly_counts", "agg6_cells_in_wide_bands", "agg14_low_ship_gate",
+    "win11_eval_sample", "fn18_exact_decimal_text", "str1_weekly_counts", "agg6_cells_in_wide_bands", "agg14_low_ship_gate", "set2_merged_pools",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="sample tables are not here")
