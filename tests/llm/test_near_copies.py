@@ -70,3 +70,36 @@ def test_bounds_lose_no_pair():
             if both and both >= share * (apart + both):
                 firsts = [x[: overlap.prefix_length(len(x), share)] for x in (a, b)]
                 assert len(np.intersect1d(*firsts))
+
+
+def test_simhash_search_links_close_texts_before_the_exact_one(spark, shelf):
+    words = prose("soup", 200, 4000).split()
+    same_words = [" ".join(random.Random(i).sample(words, len(words))) for i in range(30)]  # one SimHash of words, unlike shingles
+    base = [prose(f"long {i}", 300, 4000) for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(base + [edited(t, i, 200) for i, t in enumerate(base)] + same_words)), "doc_id bigint, text string")
+    nodes = shelf.put(overlap.signed(docs, shelf, 5, 0.8, "doc_id", "text").withColumnRenamed("row", "node"))
+    asked = []
+
+    def confirm(pairs):
+        asked.extend(pairs.collect())
+        return pairs
+
+    found = {r.node: r.root for r in overlap.simhash_classes(nodes, confirm, shelf).collect()}
+    ids = {r.id: r.node for r in nodes.collect()}
+    assert sum(ids[i] in found and found[ids[i]] == found.get(ids[i + 12]) for i in range(12)) >= 7
+    assert len(asked) <= 24 and not {ids[i] for i in range(24, 54)} & set(found)
+
+
+def test_prefixes_share_as_many_as_are_needed():
+    r = np.random.default_rng(4)
+    close = 0
+    for n, share in itertools.product([1, 4, 5, 9, 50, 400], [0.5, 0.8, 0.9]):
+        for _ in range(100):
+            pool = r.integers(0, 2**63, 2 * n).astype(np.uint64)
+            a, b = np.unique(pool[: n + r.integers(0, n // 4 + 1)]), np.unique(pool[r.integers(0, n // 4 + 1) : n])
+            both = len(np.intersect1d(a, b))
+            if both and both >= share * (len(a) + len(b) - both):
+                close += 1
+                firsts = [x[: overlap.prefix_length(len(x), share)] for x in (a, b)]
+                assert len(np.intersect1d(*firsts)) >= overlap.needed(len(a), len(b), share)
+    assert close > 300 and overlap.needed(1000, 1000, 0.8) > 80
