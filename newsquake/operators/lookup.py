@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsquake.session import salts
@@ -27,3 +27,15 @@ def skew_safe_join(
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(count)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(count)])))
     return salted_big.join(salted_small, [*on, "_salt"], how).drop("_salt")
+
+
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds columns (or replaces those of the name) that are computed once per row, whatever reads them.
+
+    They pass through an explode of one struct: a later filter or join condition on a plain column is moved below its
+    projection with the whole expression written out at every use, and each of these is computed by itself.
+    """
+    taken = {name.lower() for name in columns}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+    one = F.explode(F.array(F.struct(*[value.alias(name) for name, value in columns.items()])))
+    return df.select(*kept, one.alias("_once")).select(*kept, "_once.*")

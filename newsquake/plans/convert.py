@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsquake import constants as K
 from newsquake.functions import render
 from newsquake.functions.reaction import fuse
+from newsquake.operators.lookup import computed_once
 from newsquake.plans.label import label_headlines
 from newsquake.schemas import OLD_OUTPUT, ROW_FIELDS
 
@@ -21,7 +22,8 @@ def signal_date(news: Column, noise=K.NOISE_HEADLINES) -> Column:
         lambda line: line.rlike(K.NEWS_LINE_PATTERN)
         & ~F.array_contains(known, F.regexp_extract(line, K.NEWS_LINE_PATTERN, 2)),
     )
-    single = F.when(F.size(own) == 1, F.element_at(own, 1))
+    # Bound to a variable, as the lines would else be matched once for the number and again for the line.
+    single = F.element_at(F.transform(F.array(own), lambda rows: F.when(F.size(rows) == 1, F.element_at(rows, 1))), 1)
     return render.parse_dated(F.regexp_extract(single, K.NEWS_LINE_PATTERN, 1))
 
 
@@ -33,13 +35,14 @@ def convert_rows(old_rows: DataFrame, prices: DataFrame, earnings: DataFrame | N
     """
     parsed = F.from_json("output", OLD_OUTPUT, {"mode": "PERMISSIVE"})
     first = F.try_element_at(F.col("_old.impacted_stocks"), F.lit(1))
-    read = (
-        old_rows.withColumn("_old", parsed)
-        .withColumn("_first", first)
-        .withColumn("published_at", signal_date(F.col("news")).cast("timestamp"))
-        .withColumn("gap_pct", render.gap_from_text(F.col("valuation")))
-        .withColumnRenamed(key, "feed_pos")
-    )
+    read = computed_once(
+        old_rows.withColumn("_old", parsed),
+        {
+            "_first": first,
+            "published_at": signal_date(F.col("news")).cast("timestamp"),
+            "gap_pct": render.gap_from_text(F.col("valuation")),
+        },
+    ).withColumnRenamed(key, "feed_pos")
     labelled = label_headlines(read, prices, earnings).withColumnRenamed("skip_reason", "_label_reason")
     fused = render.price_context(fuse(labelled, skip_unlabelled=True))
     unparseable = (
