@@ -865,21 +865,20 @@ def _(t):
     return t.read("lineitem").groupBy(valuation_bucket(F.round(gap, 0)).alias("bucket")).agg(_count().alias("n"))
 
 
-def _template_frame(t: Tables) -> DataFrame:
+def _template_rows(t: Tables) -> DataFrame:
     drawn = t.template_draws
     days = drawn.select("ticker", "as_of").distinct()
     valued = value.value_days(days, t.prices, t.quarterly, t.earnings, t.fundamentals, t.sectors)
-    # An entity and day hold few draws, and the texts are too wide to be repeated for salts.
-    return drawn.join(template.rendered_days(valued), ["ticker", "as_of"]).withColumn(
-        "move_pct", F.round(draw(F.col("draw_id"), "move") * 6 - 3, 1)
+    moved = drawn.withColumn("move_pct", F.round(draw(F.col("draw_id"), "move") * 6 - 3, 1))
+    today = F.lit("2002-01-01").cast("date")
+    return template.template_rows(
+        moved, t.template_pools, t.sector_news, ["name", "ticker"], today, ["NATION_3"], days=template.rendered_days(valued)
     )
 
 
 @query("join11_12_template_rows")
 def _(t):
-    done = template.template_rows(
-        _template_frame(t), t.template_pools, t.sector_news, ["name", "ticker"], F.lit("2002-01-01").cast("date"), ["NATION_3"]
-    )
+    done = _template_rows(t)
     reasoning = F.get_json_object("output", "$.reasoning")
     return done.where(F.col("task") == "analysis").select(
         "draw_id", "split", "ticker", "news_reaction", reasoning.isNotNull().alias("has_reasoning"),
@@ -890,9 +889,7 @@ def _(t):
 
 @query("prj4_template_row_counts")
 def _(t):
-    done = template.template_rows(
-        _template_frame(t), t.template_pools, t.sector_news, ["name", "ticker"], F.lit("2002-01-01").cast("date"), ["NATION_3"]
-    )
+    done = _template_rows(t)
     return done.groupBy("task", "split", "news_reaction").agg(_count().alias("n"))
 
 

@@ -11,7 +11,7 @@ from newsquake import constants as K
 from newsquake.functions import render
 from newsquake.functions.numeric import draw, draw_index, fill, weighted_choice
 from newsquake.functions.reaction import fuse, text_gap
-from newsquake.operators.lookup import skew_safe_join
+from newsquake.operators.lookup import computed_once, skew_safe_join
 from newsquake.operators.ranking import running_totals
 from newsquake.plans.rows import explode_rows, split_of
 
@@ -49,12 +49,9 @@ def mark_holdout(pools: DataFrame) -> DataFrame:
 
 def draws(keys: DataFrame, key: str, entity_count: Column | int, weights=K.REACTION_WEIGHTS) -> DataFrame:
     """A weighted reaction and a uniform entity number for every key."""
-    return keys.withColumns(
-        {
-            "news_reaction": weighted_choice(weights, draw(F.col(key), "reaction")),
-            "entity_no": draw_index(entity_count, F.col(key), "entity"),
-        }
-    )
+    drawn = {"_drawn": draw(F.col(key), "reaction"), "entity_no": draw_index(entity_count, F.col(key), "entity")}
+    once = computed_once(keys, drawn)  # the share drawn is compared with each weight
+    return once.select(*keys.columns, weighted_choice(weights, F.col("_drawn")).alias("news_reaction"), "entity_no")
 
 
 def draws_of(keys: DataFrame, key: str, entities: DataFrame, order: str) -> DataFrame:
@@ -87,21 +84,26 @@ def template_rows(
     today: Column,
     holdout: Sequence[str] = (),
     key: str = "draw_id",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Stored rows for draws: (draw_id, split, 12 fields).
 
     drawn has one row per draw with news_reaction, ticker, sector, the fill fields, move_pct and
     the columns of a rendered day (see rendered_days). pools holds (pool, idx, headlines, reasonings); sector_news holds
     (sector, good_headline, bad_headline, good_reasoning, bad_reasoning) and replaces some good and bad headlines.
+    Rendered days are joined by (ticker, as_of) after the templates if they are given apart, in `days`: their texts are
+    the widest columns and then move once.
     """
     marked = mark_holdout(pools)
-    sizes = marked.groupBy("pool").agg(F.count(F.lit(1)).alias("pool_size"))
-    # One row per pool, and a pool per reaction class.
-    sized = drawn.join(sizes, drawn["news_reaction"] == sizes["pool"]).drop("pool")
-    placed = sized.withColumn("idx", draw_index(F.col("pool_size"), F.col(key), "template")).withColumnRenamed(
-        "news_reaction", "pool"
-    )
+    # A pool per reaction class: few sizes, which reach every row as a map, as a join by class would move all draws to a few tasks.
+    sizes = pools.where("pool is not null").groupBy("pool").agg(F.count(F.lit(1)).alias("n"))
+    size_of = sizes.agg(F.map_from_entries(F.collect_list(F.struct("pool", "n")))).scalar()
+    sized = drawn.drop("pool").withColumn("_size", F.try_element_at(size_of, F.col("news_reaction"))).where(F.col("_size").isNotNull())
+    placed = computed_once(sized, {"idx": draw_index(F.col("_size"), F.col(key), "template")}).drop("_size")
+    placed = placed.withColumnRenamed("news_reaction", "pool")
     joined = skew_safe_join(placed, marked, ["pool", "idx"], [key], "inner").withColumnRenamed("pool", "news_reaction")
+    # An entity and day hold few draws, and the texts are too wide to be repeated for salts.
+    joined = joined if days is None else joined.join(days, ["ticker", "as_of"])
     joined = skew_safe_join(joined, sector_news, ["sector"], [key], "left")
 
     directed = F.col("news_reaction").isin("good", "bad")
