@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsquake.llm import overlap
 from newsquake.llm.common import Shelf
@@ -104,3 +105,21 @@ def test_prefixes_share_as_many_as_are_needed():
                 firsts = [x[: overlap.prefix_length(len(x), share)] for x in (a, b)]
                 assert len(np.intersect1d(*firsts)) >= overlap.needed(len(a), len(b), share)
     assert close > 300 and overlap.needed(1000, 1000, 0.8) > 80
+
+
+def test_crowd_of_edited_copies_is_not_compared_pair_by_pair(spark, shelf):
+    base = prose("crowd", 300, 4000)
+    docs = shelf.put(spark.createDataFrame([(i, edited(base, f"member {i}", 60)) for i in range(240)], "doc_id bigint, text string"))
+    signed = overlap.signed(docs, shelf, 5, 0.8, "doc_id", "text").withColumnRenamed("row", "node")
+    nodes = shelf.put(signed.withColumn("folded", F.lit(1).cast("bigint")))
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    confirm = overlap.as_similar(texts, nodes.select("node", "id", "text_hash", "folded"), 5, 0.8, shelf)
+    asked = []
+
+    def counted(pairs):
+        asked.append(pairs.count())
+        return confirm(pairs)
+
+    found = overlap.simhash_classes(nodes, counted, shelf)
+    assert max(n for _, n in found.groupBy("root").count().collect()) >= 100
+    assert sum(asked) <= 3 * 240
